@@ -71,7 +71,7 @@ def write_text(df: DataFrame, path: str, column: str = "value") -> None:
 
 
 def json_documents(df: DataFrame, keys: list[str], columns: list[str], order: str, at_millis: Column,
-                   part_rows: int = 10_000) -> DataFrame:
+                   part_rows: int = 1_000_000) -> DataFrame:
     """One JSON document ``{records, size, time}`` per key and part of at most ``part_rows`` ids.
 
     ``order`` is a non-negative integer unique inside the key, so a part is bounded
@@ -87,9 +87,9 @@ def json_documents(df: DataFrame, keys: list[str], columns: list[str], order: st
         F.to_json(F.struct("records", F.size("records").alias("size"), at_millis.alias("time"))).alias("value"))
 
 
-def write_json_documents(documents: DataFrame, path: str, keys: list[str]) -> None:
-    """Documents as text, one line each, in one folder per key."""
-    documents.select(*keys, "value").write.mode("errorifexists").partitionBy(*keys).text(path)
+def write_json_documents(documents: DataFrame, path: str) -> None:
+    """Every document as a file of its own, which is what a multi-line reader takes."""
+    documents.select("value").write.mode("errorifexists").option("maxRecordsPerFile", 1).text(path)
 
 
 def round_trip_text(df: DataFrame, column: str, min_partitions: int = 0) -> DataFrame:
