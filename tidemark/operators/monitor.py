@@ -193,6 +193,12 @@ def batch_metrics(batches: DataFrame, expected_mib: float) -> DataFrame:
         .otherwise(F.lit(0.0)).alias("mib_per_s"))
 
 
+def batch_info(batches: DataFrame) -> DataFrame:
+    """The four columns of the stored batch table."""
+    return batches.select("batch_time", F.col("start_ms").alias("processing_start_time"),
+                          F.col("end_ms").alias("processing_end_time"), "num_records")
+
+
 def progress_rows(spark: SparkSession, progress: list[dict]) -> DataFrame:
     """Batch rows of the recent progress reports of a streaming query (Spark keeps a fixed number of them)."""
     rows = []

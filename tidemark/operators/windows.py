@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import half_up
 from tidemark.plans.ordering import CHUNK_ROWS, dense_index, id_chunk, trailing_mean, with_previous
 
 
@@ -17,8 +16,11 @@ def moving_average(df: DataFrame, series: list[str], order: str, value: str, n:
     show 0.0 and never enter a mean.
     """
     indexed = dense_index(df, series, order, id_chunk(order, chunk_rows), "__i")
-    late = indexed.where(F.col("__i") >= warmup).withColumn("__i", F.col("__i") - warmup)
-    meaned = trailing_mean(late, series, "__i", value, n, out, chunk_rows).withColumn(out, half_up(F.col(out), 3))
+    # Decimal sums: the mean of few-digit figures may lie exactly between two roundings.
+    late = indexed.where(F.col("__i") >= warmup).withColumns({
+        "__i": F.col("__i") - warmup, "__v": F.col(value).cast("decimal(28,12)")})
+    meaned = trailing_mean(late, series, "__i", "__v", n, out, chunk_rows).drop("__v").withColumn(
+        out, F.round(out, 3).cast("double"))
     if warmup:
         early = indexed.where(F.col("__i") < warmup).withColumn(out, F.lit(0.0))
         meaned = meaned.unionByName(early)

@@ -8,7 +8,7 @@ from tidemark.operators import aggregates as A
 from tidemark.operators import graph, joins, limits, windows
 from tidemark.operators.positions import begin_end_offsets
 from tidemark.plans import views as V
-from tidemark.plans.catalog import (BATCHES, BOUNDS, EDGES, LOG, RAW_LOG, SENSOR, WORDS, half_up_sql, ms, query,
+from tidemark.plans.catalog import (BATCHES, BOUNDS, EDGES, LOG, RAW_LOG, SENSOR, WORDS, half_up_sql, mean3_sql, ms, query,
                                     rounded)
 from tidemark.functions.scalar import bucket_millis, rate_per_second
 from tidemark.operators.records import drop_fields, with_window_and_partition
@@ -300,14 +300,14 @@ def _rated(spark, sf):
 
 
 @query("win_moving_average", f"""
-  WITH {_RATED} SELECT series, batch_no, {half_up_sql('avg(rate) OVER (PARTITION BY series ORDER BY i ROWS 5 PRECEDING)', 3)} AS mean FROM rated""")
+  WITH {_RATED} SELECT series, batch_no, {mean3_sql('rate', 'PARTITION BY series ORDER BY i ROWS 5 PRECEDING')} AS mean FROM rated""")
 def _(spark, sf):
     return windows.moving_average(_rated(spark, sf), ["series"], "batch_no", "rate", 5).select("series", "batch_no", "mean")
 
 
 @query("win_warmup_skip", f"""
   WITH {_RATED} SELECT series, batch_no, 0.0::DOUBLE AS mean FROM rated WHERE i <= 20 UNION ALL
-  SELECT series, batch_no, {half_up_sql('avg(rate) OVER (PARTITION BY series ORDER BY i ROWS 5 PRECEDING)', 3)} FROM rated WHERE i > 20""")
+  SELECT series, batch_no, {mean3_sql('rate', 'PARTITION BY series ORDER BY i ROWS 5 PRECEDING')} FROM rated WHERE i > 20""")
 def _(spark, sf):
     return windows.warmup_skip(_rated(spark, sf), ["series"], "batch_no", "rate", 5, 20).select("series", "batch_no", "mean")
 

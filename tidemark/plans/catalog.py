@@ -71,6 +71,13 @@ def half_up_sql(x: str, places: int) -> str:
     return f"round(CAST({x} AS DECIMAL(38,12)), {places})::DOUBLE"
 
 
+def mean3_sql(value: str, window: str) -> str:
+    """Mean of figures with 2 decimals, HALF_UP to 3, in whole numbers."""
+    cents = f"sum(round({value} * 100)::BIGINT) OVER ({window})"
+    n = f"count(*) OVER ({window})"
+    return f"((({cents} * 20 + {n}) // (2 * {n}))::DOUBLE / 1000.0)"
+
+
 def windows_sql(source: str, width_us: int, slide_us: int, columns: str) -> str:
     """Rows of ``source`` (with ``ts``) once per sliding window, as (ws, columns)."""
     copies = -(-width_us // slide_us)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,16 +13,18 @@ from tidemark.streaming.runs import run_batches
 ROWS_PER_FILE = 5_000_000
 
 
-def prepare_batches(df: DataFrame, order: str, path: str, batches: int, top: int) -> int:
+def prepare_batches(df: DataFrame, order: str, path: str, batches: int, top: int,
+                    numbers: Iterable[int] | None = None) -> int:
     """Write ``df`` as ``batches`` prepared batches by equal spans of ``order`` in ``[0, top]``.
 
     The batches are written one after the other, each as the same number of files, so a
     file stream that takes that many files per trigger sees one batch per trigger. The
     number of files is given back; a span is a range filter, which prunes row groups.
+    ``numbers`` picks the batches to write now.
     """
     span = -(-(top + 1) // batches)
     files = max(1, -(-span // ROWS_PER_FILE))
-    for number in range(batches):
+    for number in numbers if numbers is not None else range(batches):
         part = df.where((F.col(order) >= number * span) & (F.col(order) < (number + 1) * span))
         (part.withColumn("batch_key", F.lit(number)).repartition(files)
          .write.mode("append").parquet(path))
