@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalar import bind
 from tidemark.plans.ordering import CHUNK_ROWS, dense_index
 
 # Fixed values of the public murmur2 algorithm and the seed producers use.
@@ -22,35 +23,38 @@ def _times(column: Column) -> Column:
 
 
 def _fold(column: Column, bits: int) -> Column:
-    return column.bitwiseXOR(F.shiftright(column, bits))
+    return bind(column, lambda x: x.bitwiseXOR(F.shiftright(x, bits)))
 
 
-def murmur2(key: Column) -> Column:
-    """Signed 32-bit murmur2 of a binary column as int."""
-    digits = F.hex(key)
-    length = F.octet_length(key).cast("long")
-    blocks = F.shiftright(F.octet_length(key), 2)
+def _byte_swapped(digits: Column, start: Column, count: int) -> Column:
+    """Number of ``count`` bytes, least byte first, from the hex digit ``start`` on."""
+    pairs = [F.substring(digits, start + 2 * i, F.lit(2)) for i in reversed(range(count))]
+    return F.conv(F.concat(*pairs), 16, 10).cast("long")
 
-    def little_endian(start: Column, count: Column | int) -> Column:
-        # Word i of four bytes starts at hex digit 8 i; read its bytes back to front.
-        part = F.substring(digits, start, count)
-        pairs = F.transform(F.sequence(F.length(part) - 1, F.lit(1), F.lit(-2)),
-                            lambda at: F.substring(part, at, F.lit(2)))
-        return F.conv(F.array_join(pairs, ""), 16, 10).cast("long")
+
+def _murmur2(digits: Column) -> Column:
+    length = F.shiftright(F.length(digits), 1)
+    blocks = F.shiftright(F.length(digits), 3)
 
     def step(h: Column, i: Column) -> Column:
-        k = _times(_fold(_times(little_endian(i * 8 + 1, F.lit(8))), MIX_SHIFT))
+        k = _times(_fold(_times(_byte_swapped(digits, i * 8 + 1, 4)), MIX_SHIFT))
         return _times(h).bitwiseXOR(k)
 
-    body = F.aggregate(
-        F.when(blocks > 0, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array().cast("array<int>")),
-        length.bitwiseXOR(F.lit(SEED)),
-        step,
-    )
-    tail = F.when(length % 4 == 0, body).otherwise(
-        _times(body.bitwiseXOR(little_endian(blocks * 8 + 1, F.lit(6)))))
-    mixed = _fold(_times(_fold(tail, TAIL_SHIFTS[0])), TAIL_SHIFTS[1])
-    return F.when(mixed > 0x7FFFFFFF, mixed - F.lit(_MASK + 1)).otherwise(mixed).cast("int")
+    def finish(h: Column) -> Column:
+        rest = length % 4
+        tail = F.when(rest == 0, h)
+        for n in (1, 2, 3):
+            tail = tail.when(rest == n, _times(h.bitwiseXOR(_byte_swapped(digits, blocks * 8 + 1, n))))
+        mixed = _fold(_times(_fold(tail, TAIL_SHIFTS[0])), TAIL_SHIFTS[1])
+        return bind(mixed, lambda x: F.when(x > 0x7FFFFFFF, x - F.lit(_MASK + 1)).otherwise(x))
+
+    steps = F.when(blocks > 0, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(steps, length.cast("long").bitwiseXOR(F.lit(SEED)), step, finish).cast("int")
+
+
+def murmur2(key: Column) -> Column:
+    """Signed 32-bit murmur2 of a binary column as int."""
+    return bind(F.hex(key), _murmur2)
 
 
 def key_partition(key: Column, partitions: int) -> Column:
@@ -61,11 +65,9 @@ def key_partition(key: Column, partitions: int) -> Column:
 def assign_partitions(df: DataFrame, key: str, order: str, partitions: int, out: str = "partition",
                       chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Hash keyed rows; rows with a null key take turns in ``order`` (a unique, non-negative integer)."""
-    hashed = df.withColumn("__null", F.col(key).isNull())
-    # Keyed and null rows get separate positions; only those of the null rows are used.
-    indexed = dense_index(hashed, ["__null"], order, F.expr(f"`{order}` div {chunk_rows}"), "__turn")
-    return (
-        indexed.withColumn(out, F.when(F.col("__null"), F.col("__turn") % partitions)
-                           .otherwise(key_partition(F.col(key), partitions)).cast("int"))
-        .drop("__null", "__turn")
-    )
+    keyed = df.where(F.col(key).isNotNull()).withColumn(out, key_partition(F.col(key), partitions).cast("int"))
+    # Only the rows without a key need their place in the order; the others do not move.
+    free = dense_index(df.where(F.col(key).isNull()).withColumn("__all", F.lit(0)), ["__all"], order,
+                       F.expr(f"`{order}` div {chunk_rows}"), "__turn")
+    turns = free.withColumn(out, (F.col("__turn") % partitions).cast("int")).drop("__all", "__turn")
+    return keyed.unionByName(turns)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Time text patterns in use.
@@ -15,6 +17,20 @@ TIME_PATTERNS = {
 }
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def once(df: DataFrame, keys: Sequence[str], value: Column, name: str) -> DataFrame:
+    """Keys and a costly expression that later filters and projections read but do not repeat.
+
+    A filter on a projected expression is pushed below the projection with a copy of
+    the expression in it; a generator of one item stops that.
+    """
+    return df.select(*keys, F.explode(F.array(value)).alias(name))
+
+
 def split_java(text: Column) -> Column:
     """Split on one blank; empty strings stay inside and in front, not at the end."""
     return (

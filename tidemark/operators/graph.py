@@ -24,19 +24,24 @@ def pagerank(edges: DataFrame, rounds: int = 10, checkpoint_every: int = 3, hub_
     keep a rank. A hub's edges are spread over several salts, and its share is
     copied once per salt, so no join task holds more than about ``hub_edges`` of one node.
     """
-    shared_dir(edges.sparkSession)
-    unique = distinct_rows(edges.select("src", "dst"))
+    spark = edges.sparkSession
+    shared_dir(spark)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    unique = distinct_rows(edges.select("src", "dst")).persist(StorageLevel.MEMORY_AND_DISK)
     degrees = unique.groupBy("src").agg(F.count(F.lit(1)).alias("degree")).withColumn(
         "salts", F.ceil(F.col("degree") / F.lit(hub_edges)).cast("int"))
     hubs = degrees.where(F.col("salts") > 1).select("src", "salts")
-    # Kept in the layout of the join below, so a round moves ranks and shares, not the edges.
+    # Kept in the layout and order of the join below, so a round moves and sorts shares, not edges.
+    # The task count is given, or run-time coalescing would undo the layout; the table is filled
+    # before the rounds are planned, since only then its layout is known to the planner.
     links = (
         unique.join(hubs, "src", "left")
         .select("src", "dst", F.when(F.col("salts").isNull(), F.lit(0)).otherwise(
             F.pmod(F.xxhash64("dst"), F.col("salts").cast("long"))).cast("int").alias("salt"))
-        .repartition("src", "salt").persist(StorageLevel.MEMORY_AND_DISK)
+        .repartition(tasks, "src", "salt").sortWithinPartitions("src", "salt").persist(StorageLevel.MEMORY_AND_DISK)
     )
     degrees = degrees.checkpoint()
+    links.count()
     ranks = degrees.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
     for done in range(1, rounds + 1):
         shares = (
@@ -50,4 +55,5 @@ def pagerank(edges: DataFrame, rounds: int = 10, checkpoint_every: int = 3, hub_
         if done % checkpoint_every == 0 or done == rounds:
             ranks = ranks.checkpoint()
     links.unpersist()
+    unique.unpersist()
     return ranks

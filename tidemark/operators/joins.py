@@ -81,13 +81,14 @@ def first_at_or_after(log: DataFrame, targets: DataFrame, chunk_ms: int = CHUNK_
         wanted.select(*TP, "at", F.lit(None).cast("struct<offset:bigint,time_ms:bigint>").alias("hit"),
                       F.lit(True).alias("wanted"))
     ).withColumn("chunk", F.floor(F.col("at") / F.lit(chunk_ms)))
-    later = Window.partitionBy(*TP).orderBy("chunk").rowsBetween(1, Window.unboundedFollowing)
+    later = Window.partitionBy(*TP).orderBy(F.desc("chunk")).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
         both.groupBy(*TP, "chunk").agg(F.min("hit").alias("m"))
         .select(*TP, "chunk", F.min("m").over(later).alias("carry"))
     )
-    # A range frame, so that a log row of the target's own millisecond counts.
-    local = Window.partitionBy(*TP, "chunk").orderBy("at").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    # Backwards, so that the frame only grows; by range, so that a log row of the target's own millisecond counts.
+    local = (Window.partitionBy(*TP, "chunk").orderBy(F.desc("at"))
+             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     return (
         both.join(carry, [*TP, "chunk"])
         .withColumn("best", F.least(F.min("hit").over(local), F.col("carry")))

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import half_up, rate_per_second
+from tidemark.functions.scalar import half_up, once, rate_per_second
 from tidemark.operators.windows import moving_average
 from tidemark.plans.ordering import CHUNK_ROWS, id_chunk, running_sum, with_previous
 
@@ -24,6 +24,8 @@ UNIT_MS = {
     "minutes": 6e4, "hours": 3.6e6, "days": 8.64e7,
 }
 
+EVENT_KINDS = ["SparkListenerTaskEnd", "SparkListenerStageCompleted", "SparkListenerJobStart", "SparkListenerJobEnd"]
+
 _TASK_INFO = ("struct<`Task ID`:bigint,`Index`:int,`Attempt`:int,`Launch Time`:bigint,`Executor ID`:string,"
               "`Host`:string,`Locality`:string,`Finish Time`:bigint,`Failed`:boolean,`Killed`:boolean>")
 _SHUFFLE_READ = ("struct<`Remote Blocks Fetched`:bigint,`Local Blocks Fetched`:bigint,`Fetch Wait Time`:bigint,"
@@ -54,7 +56,11 @@ def read_event_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_events(lines: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
-    return lines.select(*keys, F.from_json(value, EVENT).alias("e")).select(*keys, "e.*")
+    """Events of the kinds used here; other lines are told apart by their text and not parsed."""
+    known = F.lit(False)
+    for kind in EVENT_KINDS:
+        known = known | F.col(value).contains(kind)
+    return once(lines.where(known), keys, F.from_json(value, EVENT), "e").select(*keys, "e.*")
 
 
 def _task_ends(events: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.scalar import once
 from tidemark.functions.typed import is_number
 from tidemark.plans.ordering import CHUNK_ROWS, dense_index, id_chunk
 from tidemark.schemas import RECORD, TIME_VALUE
@@ -93,7 +94,8 @@ def with_attributes(df: DataFrame, facts: Mapping[str, Column | str], column: st
 def split_good_errors(log: DataFrame, keys: list[str], value: str = "value") -> tuple[DataFrame, DataFrame]:
     """One parse, two outputs: typed rows, and rows with an error text."""
     payload = F.col(value).cast("string")
-    parsed = log.select(*keys, payload.alias("payload"), parse_json(payload, RECORD).alias("r"))
+    texts = log.select(*keys, payload.alias("payload"))
+    parsed = once(texts, [*keys, "payload"], parse_json(F.col("payload"), RECORD), "r")
     checked = parsed.withColumn(
         "error",
         F.when(F.col("r").isNull() | F.col("r._corrupt_record").isNotNull(), F.lit("not a sensor record"))

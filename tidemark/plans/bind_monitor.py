@@ -33,7 +33,7 @@ def _(spark, sf):
 
 def task_lines(spark, sf):
     """One task-end line of an event log per order; the order's fields stand for the figures."""
-    return V.table(spark, sf, "orders").select(
+    return V.spread(V.table(spark, sf, "orders")).select(
         F.col("o_orderpriority").alias("app"),
         F.expr("""to_json(named_struct(
           'Event', 'SparkListenerTaskEnd', 'Stage ID', cast(o_custkey % 50 AS int), 'Stage Attempt ID', if(o_orderkey % 97 = 0, -1, 0),

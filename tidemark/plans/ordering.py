@@ -99,17 +99,18 @@ def next_non_null(df: DataFrame, keys: Sequence[str], order: str, value: str, ch
     """First non-null ``value`` at or after the current row."""
     keys = list(keys)
     tagged = df.withColumn(_CHUNK, chunk if isinstance(chunk, Column) else F.col(chunk))
-    later = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(1, Window.unboundedFollowing)
+    # Backwards with a growing frame: a frame that shrinks from the far end costs a pass per row.
+    later = Window.partitionBy(*keys).orderBy(F.desc(_CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
         tagged.groupBy(*keys, _CHUNK)
         .agg(F.min_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("first"))
-        .select(*keys, _CHUNK, F.first("first", ignorenulls=True).over(later).alias("__carry"))
+        .select(*keys, _CHUNK, F.last("first", ignorenulls=True).over(later).alias("__carry"))
     )
-    local = (Window.partitionBy(*keys, _CHUNK).orderBy(order)
-             .rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    local = (Window.partitionBy(*keys, _CHUNK).orderBy(F.desc(order))
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (
         tagged.join(carry, [*keys, _CHUNK])
-        .withColumn(out, F.coalesce(F.first(value, ignorenulls=True).over(local), F.col("__carry")))
+        .withColumn(out, F.coalesce(F.last(value, ignorenulls=True).over(local), F.col("__carry")))
         .drop(_CHUNK, "__carry")
     )
 

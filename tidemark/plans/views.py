@@ -17,6 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share a scan out when it has fewer splits than there are cores, as one small file does.
+
+    For work that is heavy per row. A large table has more splits than cores and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as typed sensor records."""
     return table(spark, sf_dir, "events").selectExpr(
@@ -69,7 +78,7 @@ _PAYLOAD = """
 def json_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log rows with binary JSON payloads, good and bad; offset is the event id."""
     return (
-        raw_log(spark, sf_dir)
+        spread(raw_log(spark, sf_dir))
         .withColumn("t", F.unix_millis("timestamp"))
         .withColumnRenamed("num", "value")
         .withColumn("payload", F.expr(_PAYLOAD))
@@ -80,12 +89,14 @@ def json_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per word of ``documents.text``."""
-    return table(spark, sf_dir, "documents").select(F.explode(split_java(F.col("text"))).alias("word"))
+    texts = spread(table(spark, sf_dir, "documents").select("text"))
+    return texts.select(F.explode(split_java(F.col("text"))).alias("word"))
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts and suppliers as nodes, one edge each way per line item (repeats stay)."""
-    return table(spark, sf_dir, "lineitem").select(
+    items = spread(table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey"))
+    return items.select(
         F.explode(F.array(
             F.struct(F.concat(F.lit("p"), "l_partkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst")),
             F.struct(F.concat(F.lit("s"), "l_suppkey").alias("src"), F.concat(F.lit("p"), "l_partkey").alias("dst")),

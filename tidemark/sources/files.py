@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.scalar import once
 from tidemark.schemas import RECORD
 from tidemark.session import scratch_path
 
@@ -38,8 +39,8 @@ def parse_json(payload: Column, schema: T.StructType) -> Column:
 
 
 def json_lines(df: DataFrame, payload: str = "value", schema: T.StructType = RECORD) -> DataFrame:
-    """Typed records of the lines that are well-formed objects; the others are dropped."""
-    parsed = df.select(parse_json(F.col(payload), schema).alias("r")).where(
+    """Typed records of the lines that are well-formed objects with fields of these types; the others are dropped."""
+    parsed = once(df, [], parse_json(F.col(payload), schema), "r").where(
         F.col("r").isNotNull() & F.col(f"r.{_CORRUPT}").isNull())
     return parsed.select(*[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields])
 
