@@ -97,19 +97,21 @@ def partition_counts(log: DataFrame) -> DataFrame:
     return counts.withColumn("total", F.sum("count").over(Window.partitionBy("topic")))
 
 
-def offset_summary(log: DataFrame, payload: str = "value") -> DataFrame:
+def offset_summary(log: DataFrame, payload: str = "value", offsets_unique: bool = False) -> DataFrame:
     """Kept offsets per partition: number, least and greatest.
 
-    Kept are JSON payloads with a ``value`` field and texts that are no JSON. An offset counts once.
+    Kept are JSON payloads with a ``value`` field and texts that are no JSON. An offset counts
+    once; where the log holds none twice, ``offsets_unique`` saves the shuffle that sees to it.
     """
     text = F.col(payload).cast("string")
     parsed = F.try_parse_json(text)
     kept = parsed.isNull() | F.try_variant_get(parsed, "$.value", "variant").isNotNull()
-    once = log.groupBy("partition", "offset").agg(F.max(F.when(kept, 1).otherwise(0)).alias("kept"))
-    return once.groupBy("partition").agg(
-        F.sum("kept").alias("size"),
-        F.min(F.when(F.col("kept") == 1, F.col("offset"))).alias("min_offset"),
-        F.max(F.when(F.col("kept") == 1, F.col("offset"))).alias("max_offset"))
+    rows = log.select("partition", "offset", F.when(kept, 1).otherwise(0).alias("kept"))
+    if not offsets_unique:
+        rows = rows.groupBy("partition", "offset").agg(F.max("kept").alias("kept"))
+    place = F.when(F.col("kept") == 1, F.col("offset"))
+    return rows.groupBy("partition").agg(
+        F.sum("kept").alias("size"), F.min(place).alias("min_offset"), F.max(place).alias("max_offset"))
 
 
 def poll_summary(log: DataFrame, poll_rows: int) -> DataFrame:
@@ -251,6 +253,7 @@ def retention_summary(log: DataFrame, keep: Column, group: list[str], payload: s
     """Rows and payload bytes read and kept; greatest kept offset and time, and the offset of that time."""
     size = _bytes(payload).cast("long")
     time_ms = F.unix_millis("timestamp")
+    place = F.lit("1" + "0" * 19).cast("decimal(20,0)")
     kept = F.coalesce(keep, F.lit(False))
     return log.groupBy(*group).agg(
         F.count(F.lit(1)).alias("messages_read"), F.sum(size).alias("bytes_read"),
@@ -258,9 +261,11 @@ def retention_summary(log: DataFrame, keep: Column, group: list[str], payload: s
         F.sum(F.when(kept, size).otherwise(F.lit(0))).alias("bytes_retained"),
         F.coalesce(F.max(F.when(kept, F.col("offset"))), F.lit(-1)).alias("max_offset"),
         F.coalesce(F.max(F.when(kept, time_ms)), F.lit(-1)).alias("max_timestamp"),
-        # Of several rows with the greatest time the first one counts.
-        F.coalesce(F.max(F.when(kept, F.struct(time_ms, -F.col("offset")))).getField("col2") * -1,
-                   F.lit(-1)).alias("offset_of_max_timestamp"))
+        # Of several rows with the greatest time the first one counts. Time and offset share one
+        # number, which a hash aggregate can hold; a struct would need the rows sorted.
+        F.max(F.when(kept, time_ms.cast("decimal(18,0)") * place - F.col("offset"))).alias("__last"),
+    ).select("*", F.coalesce(
+        (F.col("max_timestamp").cast("decimal(18,0)") * place - F.col("__last")).cast("long"), F.lit(-1)).alias("offset_of_max_timestamp")).drop("__last")
 
 
 def topic_partitions(log: DataFrame) -> DataFrame:

@@ -71,10 +71,9 @@ def first_at_or_after(log: DataFrame, targets: DataFrame, chunk_ms: int = CHUNK_
     Log rows shrink to one per partition and millisecond. Time is cut into chunks of
     ``chunk_ms``, which bounds the rows of a chunk; later chunks count by their minimum.
     """
-    hit = F.struct(F.col("offset"), F.unix_millis("timestamp").alias("time_ms"))
     points = (
-        log.groupBy(*TP, F.unix_millis("timestamp").alias("at")).agg(F.min(hit).alias("hit"))
-        .withColumn("wanted", F.lit(False))
+        log.groupBy(*TP, F.unix_millis("timestamp").alias("at")).agg(F.min("offset").alias("offset"))
+        .select(*TP, "at", F.struct("offset", F.col("at").alias("time_ms")).alias("hit"), F.lit(False).alias("wanted"))
     )
     wanted = targets.select(*TP, F.col("target_ms").alias("at")).distinct()
     both = points.unionByName(

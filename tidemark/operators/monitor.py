@@ -219,7 +219,7 @@ def progress_rows(spark: SparkSession, progress: list[dict]) -> DataFrame:
               "num_records bigint")
 
 
-_SAMPLE_COLUMNS = ["start_ms", "count", "sum", "min", "max"]
+_SAMPLE_COLUMNS = ["start_ms", "count", "sum", "min", "max", "first"]
 
 
 def samples(df: DataFrame, series: str, order: str, time_ms: str, value: str, now_ms: int,
@@ -229,17 +229,25 @@ def samples(df: DataFrame, series: str, order: str, time_ms: str, value: str, no
 
     A sample starts with a record and closes ``window_ms`` later or after ``event_window``
     records. A gap of a whole window always starts a new one, so a series is cut there;
-    cuts that ended before the retention are never folded. Times do not decrease along
-    ``order``, a non-negative integer unique in the series.
+    cuts that ended before the retention are never folded. Times are not negative and do not
+    decrease along ``order``, a non-negative integer unique in the series. A series that
+    never pauses for a window is one cut: one task folds it in order and holds one sample at a time.
     """
     keep_from = now_ms - n_samples * window_ms
-    chunk = id_chunk(order, chunk_rows)
     rows = df.select(F.col(series).alias("series"), F.col(order).alias("o"), F.col(time_ms).alias("t"),
                      F.col(value).cast("double").alias("v"))
-    chunk_o = id_chunk("o", chunk_rows)
-    flagged = with_previous(rows, ["series"], "o", "t", chunk_o, "before").withColumn(
+    if event_window is None:
+        # Records of one millisecond never part, so they are summed before anything is ordered.
+        rows = rows.groupBy("series", "t").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"), F.min("v").alias("lo"), F.max("v").alias("hi")
+        ).withColumn("o", F.col("t"))
+    else:
+        rows = rows.select("series", "o", "t", F.lit(1).cast("long").alias("n"), F.col("v").alias("s"),
+                           F.col("v").alias("lo"), F.col("v").alias("hi"))
+    chunk = id_chunk("o", chunk_rows)
+    flagged = with_previous(rows, ["series"], "o", "t", chunk, "before").withColumn(
         "cut", F.when(F.col("t") - F.col("before") >= window_ms, 1).otherwise(0))
-    segments = running_sum(flagged.drop("before"), ["series"], "o", "cut", chunk_o, "segment")
+    segments = running_sum(flagged.drop("before"), ["series"], "o", "cut", chunk, "segment")
     ends = segments.groupBy("series", "segment").agg(F.max("t").alias("last_t")).where(F.col("last_t") > keep_from)
     live = segments.join(ends.drop("last_t"), ["series", "segment"], "left_semi")
 
@@ -257,7 +265,8 @@ def samples(df: DataFrame, series: str, order: str, time_ms: str, value: str, no
                     if sample:
                         out.append((group[0], *sample))
                     group, sample = keys[lo], None
-                times, values = pdf["t"].to_numpy()[lo:hi], pdf["v"].to_numpy()[lo:hi]
+                times, n, total, least, most, places = (
+                    pdf[c].to_numpy()[lo:hi] for c in ("t", "n", "s", "lo", "hi", "o"))
                 at = 0
                 while at < len(times):
                     full = sample and event_window is not None and sample[1] >= event_window
@@ -268,24 +277,23 @@ def samples(df: DataFrame, series: str, order: str, time_ms: str, value: str, no
                     stop = int(np.searchsorted(times, start + window_ms, "left"))
                     if event_window is not None:
                         stop = min(stop, at + event_window - (sample[1] if sample else 0))
-                    part = values[at:stop]
-                    old = sample or (start, 0, 0.0, np.inf, -np.inf)
-                    sample = (start, old[1] + len(part), old[2] + float(part.sum()),
-                              min(old[3], float(part.min())), max(old[4], float(part.max())))
+                    old = sample or (start, 0, 0.0, np.inf, -np.inf, int(places[at]))
+                    sample = (start, old[1] + int(n[at:stop].sum()), old[2] + float(total[at:stop].sum()),
+                              min(old[3], float(least[at:stop].min())), max(old[4], float(most[at:stop].max())), old[5])
                     at = stop
             yield pd.DataFrame(out, columns=["series", *_SAMPLE_COLUMNS])
         if sample:
             yield pd.DataFrame([(group[0], *sample)], columns=["series", *_SAMPLE_COLUMNS])
 
     folded = (
-        live.select("series", "segment", "o", "t", "v").repartition("series", "segment")
+        live.select("series", "segment", "o", "t", "n", "s", "lo", "hi").repartition("series", "segment")
         .sortWithinPartitions("series", "segment", "o")
-        .mapInPandas(fold, "series string, start_ms bigint, count bigint, sum double, min double, max double")
+        .mapInPandas(fold, "series string, start_ms bigint, count bigint, sum double, min double, max double, first bigint")
         .where(F.col("start_ms") > keep_from)
     )
-    newest = Window.partitionBy("series").orderBy(F.desc("start_ms"))
-    # Samples that close on a count within one millisecond share a start; the ring keeps the latest ones.
-    return folded.withColumn("__rank", F.row_number().over(newest)).where(F.col("__rank") <= n_samples).drop("__rank")
+    # Samples that close on a count within one millisecond share a start, so the first record tells them apart.
+    newest = Window.partitionBy("series").orderBy(F.desc("first"))
+    return folded.withColumn("__rank", F.row_number().over(newest)).where(F.col("__rank") <= n_samples).drop("__rank", "first")
 
 
 def sampled_stats(live: DataFrame, series: DataFrame) -> DataFrame:
@@ -304,16 +312,17 @@ def sampled_stats(live: DataFrame, series: DataFrame) -> DataFrame:
 
 
 def sampled_rate(stats: DataFrame, now_ms: int, n_samples: int = SAMPLES, window_ms: int = SAMPLE_WINDOW_MS,
-                 unit: str = "seconds", simple: bool = False) -> DataFrame:
-    """Sampled total by elapsed time, which counts as ``n_samples - 1`` full windows at least (simple: as one)."""
+                 unit: str = "seconds", simple: bool = False, out: str = "rate",
+                 elapsed_out: str = "elapsed_ms") -> DataFrame:
+    """Add the sampled total by elapsed time, which counts as ``n_samples - 1`` full windows at least (simple: as one)."""
     elapsed = F.lit(now_ms) - F.coalesce("oldest_ms", F.lit(now_ms))
     if simple:
         padded = F.greatest(elapsed, F.lit(window_ms).cast("long"))
     else:
         missing = F.greatest(F.lit(n_samples - 1) - F.floor(elapsed / F.lit(window_ms)), F.lit(0))
         padded = elapsed + missing * window_ms
-    return stats.select("series", "sum", padded.alias("elapsed_ms"),
-                        F.try_divide(F.col("sum"), padded / F.lit(UNIT_MS[unit])).alias("rate"))
+    return stats.withColumns({
+        elapsed_out: padded, out: F.try_divide(F.col("sum"), padded / F.lit(UNIT_MS[unit]))})
 
 
 def total_and_last(df: DataFrame, series: list[str], order: str, value: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:

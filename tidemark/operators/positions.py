@@ -99,29 +99,32 @@ def range_count(ranges: DataFrame) -> DataFrame:
         "empty", F.col("count") == 0)
 
 
+def _with_marker(log: DataFrame, chunk_rows: int) -> DataFrame:
+    """Transactional rows with the next marker of their producer, as ``2 * offset + (1 if it commits)``.
+
+    Rows look for it offset chunk by offset chunk; as one number it fits a hash aggregate.
+    """
+    code = F.when(F.col("control").isNotNull(), F.col("offset") * 2 + F.when(F.col("control") == COMMIT, 1).otherwise(0))
+    return next_non_null(log.where("is_transactional").withColumn("__code", code), [*TP, "producer_id"], "offset",
+                         "__code", id_chunk("offset", chunk_rows), "__marker").drop("__code")
+
+
 def read_committed(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Data rows outside aborted or open transactions.
 
     Columns ``producer_id``, ``is_transactional`` and ``control`` (COMMIT, ABORT or null).
-    Each row looks for the next marker of its producer, offset chunk by offset chunk.
     """
-    plain = log.where(~F.col("is_transactional"))
-    inside = next_non_null(log.where("is_transactional"), [*TP, "producer_id"], "offset", "control",
-                           id_chunk("offset", chunk_rows), "__marker")
-    committed = inside.where(F.col("control").isNull() & (F.col("__marker") == COMMIT)).drop("__marker")
-    return plain.where(F.col("control").isNull()).unionByName(committed)
+    plain = log.where(~F.col("is_transactional") & F.col("control").isNull())
+    inside = _with_marker(log, chunk_rows)
+    committed = inside.where(F.col("control").isNull() & (F.col("__marker") % 2 == 1)).drop("__marker")
+    return plain.unionByName(committed)
 
 
 def aborted_spans(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Aborted transactions as (partition, producer, first offset, marker offset)."""
-    marked = log.where("is_transactional").withColumn(
-        "__end", F.when(F.col("control").isNotNull(), F.struct(F.col("offset").alias("last"), "control")))
-    inside = next_non_null(marked, [*TP, "producer_id"], "offset", "__end", id_chunk("offset", chunk_rows), "__m")
-    return (
-        inside.where((F.col("__m.control") == ABORT) & F.col("control").isNull())
-        .groupBy(*TP, "producer_id", F.col("__m.last").alias("last_offset"))
-        .agg(F.min("offset").alias("first_offset"))
-    )
+    inside = _with_marker(log, chunk_rows).where(F.col("control").isNull() & (F.col("__marker") % 2 == 0))
+    return inside.groupBy(*TP, "producer_id", F.expr("__marker div 2").alias("last_offset")).agg(
+        F.min("offset").alias("first_offset"))
 
 
 def commit_groups(log: DataFrame, poll_rows: int, commit_rows: int) -> DataFrame:

@@ -16,15 +16,12 @@ def moving_average(df: DataFrame, series: list[str], order: str, value: str, n:
     show 0.0 and never enter a mean.
     """
     indexed = dense_index(df, series, order, id_chunk(order, chunk_rows), "__i")
+    late = F.col("__i") >= warmup
     # Decimal sums: the mean of few-digit figures may lie exactly between two roundings.
-    late = indexed.where(F.col("__i") >= warmup).withColumns({
-        "__i": F.col("__i") - warmup, "__v": F.col(value).cast("decimal(28,12)")})
-    meaned = trailing_mean(late, series, "__i", "__v", n, out, chunk_rows).drop("__v").withColumn(
-        out, F.round(out, 3).cast("double"))
-    if warmup:
-        early = indexed.where(F.col("__i") < warmup).withColumn(out, F.lit(0.0))
-        meaned = meaned.unionByName(early)
-    return meaned.drop("__i")
+    # Warm-up rows are null to the mean, so a frame that reaches back into them leaves them out.
+    valued = indexed.withColumn("__v", F.when(late, F.col(value).cast("decimal(28,12)")))
+    meaned = trailing_mean(valued, series, "__i", "__v", n, out, chunk_rows)
+    return meaned.withColumn(out, F.when(late, F.round(out, 3).cast("double")).otherwise(F.lit(0.0))).drop("__i", "__v")
 
 
 def warmup_skip(df: DataFrame, series: list[str], order: str, value: str, n: int, k: int, out: str = "mean",

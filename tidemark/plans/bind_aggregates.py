@@ -8,7 +8,7 @@ from tidemark.operators import aggregates as A
 from tidemark.operators import graph, joins, limits, windows
 from tidemark.operators.positions import begin_end_offsets
 from tidemark.plans import views as V
-from tidemark.plans.catalog import (BATCHES, BOUNDS, EDGES, LOG, RAW_LOG, SENSOR, WORDS, half_up_sql, mean3_sql, ms, query,
+from tidemark.plans.catalog import (BATCHES, BOUNDS, EDGES, LOG, RAW_BOUNDS, RAW_LOG, SENSOR, WORDS, half_up_sql, mean3_sql, ms, query,
                                     rounded)
 from tidemark.functions.scalar import bucket_millis, rate_per_second
 from tidemark.operators.records import drop_fields, with_window_and_partition
@@ -61,13 +61,13 @@ def _(spark, sf):
 
 
 @query("asof_first_at_or_after", f"""
-  WITH {LOG}, targets AS (SELECT DISTINCT "partition", o AS target_ms FROM
+  WITH {RAW_LOG}, log AS (SELECT * FROM raw_log), targets AS (SELECT DISTINCT "partition", o AS target_ms FROM
       (SELECT epoch_us(o_orderdate) // 1000 % 2600000000 + 1704067200000 AS o FROM orders), (SELECT DISTINCT "partition" FROM log)),
   best AS (SELECT "partition", t, "offset", lead("offset") OVER w AS nxt FROM log WINDOW w AS (PARTITION BY "partition" ORDER BY "offset"))
   SELECT g."partition", g.target_ms, b."offset", b.t AS time_ms
   FROM targets g ASOF LEFT JOIN best b ON g."partition" = b."partition" AND g.target_ms <= b.t""")
 def _(spark, sf):
-    log = V.log(spark, sf)
+    log = V.raw_log(spark, sf)
     days = V.table(spark, sf, "orders").select(
         (F.unix_millis(F.col("o_orderdate").cast("timestamp")) % 2600000000 + 1704067200000).alias("target_ms")).distinct()
     targets = days.select("target_ms", F.lit("events").alias("topic"),
@@ -82,9 +82,9 @@ def _(spark, sf):
 
 
 @query("merge_positions", f"""
-  WITH {BOUNDS} SELECT topic, "partition", CASE WHEN "partition" >= 2 THEN e ELSE b + 5 END AS "offset" FROM bounds""")
+  WITH {RAW_BOUNDS} SELECT topic, "partition", CASE WHEN "partition" >= 2 THEN e ELSE b + 5 END AS "offset" FROM bounds""")
 def _(spark, sf):
-    bounds = begin_end_offsets(V.log(spark, sf))
+    bounds = begin_end_offsets(V.raw_log(spark, sf))
     old = bounds.where("partition < 3").select(*TP, (F.col("begin") + 5).alias("offset"))
     return joins.merge_positions(old, bounds.where("partition >= 2").select(*TP, F.col("end").alias("offset")))
 
@@ -170,7 +170,7 @@ def _(spark, sf):
   SELECT "partition", count_if(kept)::BIGINT AS size, min("offset") FILTER (kept) AS min_offset, max("offset") FILTER (kept) AS max_offset
   FROM kept GROUP BY 1""")
 def _(spark, sf):
-    return A.offset_summary(V.json_log(spark, sf))
+    return A.offset_summary(V.json_log(spark, sf), offsets_unique=True)
 
 
 @query("agg_poll_summary", f"""

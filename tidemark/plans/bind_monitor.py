@@ -171,10 +171,9 @@ def _(spark, sf):
   p AS (SELECT series, sum, e + greatest({_SAMPLES - 1} - e // {_WINDOW}, 0) * {_WINDOW} AS elapsed_ms, greatest(e, {_WINDOW}) AS simple_ms FROM e)
   SELECT series, round(sum, 4) AS sum, elapsed_ms, round(sum / (elapsed_ms / 60000.0), 8) AS rate, round(sum / (simple_ms / 1000.0), 8) AS simple_rate FROM p""")
 def _(spark, sf):
-    stats = _sampled(spark, sf)
-    padded = M.sampled_rate(stats, _NOW, _SAMPLES, _WINDOW, "minutes")
-    simple = M.sampled_rate(stats, _NOW, _SAMPLES, _WINDOW, "seconds", simple=True)
-    return padded.join(simple.select("series", F.col("rate").alias("simple_rate")), "series").select(
+    padded = M.sampled_rate(_sampled(spark, sf), _NOW, _SAMPLES, _WINDOW, "minutes")
+    both = M.sampled_rate(padded, _NOW, _SAMPLES, _WINDOW, "seconds", True, "simple_rate", "simple_ms")
+    return both.select(
         "series", rounded("sum"), "elapsed_ms", rounded("rate", 8), rounded("simple_rate", 8))
 
 

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import positions as P
 from tidemark.plans import views as V
-from tidemark.plans.catalog import BOUNDS, LOG, RAW_LOG, query
+from tidemark.plans.catalog import BOUNDS, LOG, RAW_BOUNDS, RAW_LOG, query
 from tidemark.sources.log import TP
 
 
 def _bounds(spark, sf):
-    return P.begin_end_offsets(V.log(spark, sf))
+    return P.begin_end_offsets(V.raw_log(spark, sf))
 
 
 # Partition 0 holds a position inside its range, 1 one past the end, 2 none, 3 one before the start.
@@ -24,13 +24,13 @@ def _held(bounds):
     return bounds.where("partition <> 2").select(*TP, offset.alias("offset"))
 
 
-@query("log_begin_end_offsets", f'WITH {BOUNDS} SELECT topic, "partition", b AS "begin", e AS "end" FROM bounds')
+@query("log_begin_end_offsets", f'WITH {RAW_BOUNDS} SELECT topic, "partition", b AS "begin", e AS "end" FROM bounds')
 def _(spark, sf):
     return _bounds(spark, sf)
 
 
 @query("log_reset_policy", f"""
-  WITH {BOUNDS}, h AS (SELECT *, {_HELD} AS held FROM bounds)
+  WITH {RAW_BOUNDS}, h AS (SELECT *, {_HELD} AS held FROM bounds)
   SELECT topic, "partition", 'earliest' AS policy, CASE WHEN held BETWEEN b AND e THEN held ELSE b END AS "offset" FROM h
   UNION ALL SELECT topic, "partition", 'latest', CASE WHEN held BETWEEN b AND e THEN held ELSE e END FROM h""")
 def _(spark, sf):
@@ -40,14 +40,14 @@ def _(spark, sf):
 
 
 @query("log_reset_to_committed", f"""
-  WITH {BOUNDS} SELECT topic, "partition", coalesce({_HELD}, b) AS "offset" FROM bounds""")
+  WITH {RAW_BOUNDS} SELECT topic, "partition", coalesce({_HELD}, b) AS "offset" FROM bounds""")
 def _(spark, sf):
     bounds = _bounds(spark, sf)
     return P.reset_to_committed(bounds, _held(bounds))
 
 
 @query("log_consumer_lag", f"""
-  WITH {BOUNDS}, l AS (SELECT topic, "partition", e // 3 AS position, CASE WHEN "partition" < 3 THEN e END AS "end",
+  WITH {RAW_BOUNDS}, l AS (SELECT topic, "partition", e // 3 AS position, CASE WHEN "partition" < 3 THEN e END AS "end",
        CASE WHEN "partition" < 3 THEN e END - e // 3 AS lag FROM bounds)
   SELECT *, max(lag) OVER () AS max_lag, round(avg(lag) OVER (), 6) AS avg_lag FROM l""")
 def _(spark, sf):
@@ -67,7 +67,7 @@ def _(spark, sf):
 
 
 @query("log_offset_store", f"""
-  WITH {BOUNDS} SELECT topic, "partition", e AS "offset" FROM bounds WHERE "partition" <> 1
+  WITH {RAW_BOUNDS} SELECT topic, "partition", e AS "offset" FROM bounds WHERE "partition" <> 1
   UNION ALL SELECT DISTINCT topic, p::INT, 0::BIGINT FROM bounds, (SELECT unnest(range(4, 7)) AS p)""")
 def _(spark, sf):
     held = _bounds(spark, sf).where("partition <> 1").select(*TP, F.col("end").alias("offset"))
@@ -75,7 +75,7 @@ def _(spark, sf):
 
 
 @query("log_replay_when_past", f"""
-  WITH {BOUNDS} SELECT topic, "partition", 'low' AS "limit", b AS "offset" FROM bounds
+  WITH {RAW_BOUNDS} SELECT topic, "partition", 'low' AS "limit", b AS "offset" FROM bounds
   UNION ALL SELECT topic, "partition", 'high', e FROM bounds""")
 def _(spark, sf):
     bounds = _bounds(spark, sf)
@@ -88,7 +88,9 @@ def _(spark, sf):
 @query("log_range_count", f"""
   WITH {BOUNDS} SELECT topic, sum(e - e // 4)::BIGINT AS count, false AS empty FROM bounds GROUP BY 1""")
 def _(spark, sf):
-    ranges = _bounds(spark, sf).select(*TP, F.expr("end div 4").alias("from"), F.col("end").alias("until"))
+    # Counting by ranges needs a log without gaps.
+    bounds = P.begin_end_offsets(V.log(spark, sf))
+    ranges = bounds.select(*TP, F.expr("end div 4").alias("from"), F.col("end").alias("until"))
     return P.range_count(ranges)
 
 
@@ -132,7 +134,7 @@ def _(spark, sf):
 
 
 @query("stream_rate_plan", f"""
-  WITH {BOUNDS}, l AS (SELECT topic, "partition", e // (2 + "partition") AS f, e, (e - e // (2 + "partition")) AS lag FROM bounds),
+  WITH {RAW_BOUNDS}, l AS (SELECT topic, "partition", e // (2 + "partition") AS f, e, (e - e // (2 + "partition")) AS lag FROM bounds),
   s AS (SELECT *, floor((lag::FLOAT / (sum(lag) OVER ())::FLOAT * 400::FLOAT)::DOUBLE + 0.5)::BIGINT AS share FROM l)
   SELECT topic, "partition", 'rate' AS plan, f AS "from", least(f + 2 * share, e) AS until FROM s
   UNION ALL SELECT topic, "partition", 'capped', f, least(f + 2 * least(share, 95), e) FROM s

@@ -9,7 +9,7 @@ from tidemark.functions import binary, partitioner, scalar, typed
 from tidemark.operators import records as R
 from tidemark.operators import transforms as X
 from tidemark.plans import views as V
-from tidemark.plans.catalog import (BOUNDS, LINES, LOG, RAW_LOG, SENSOR, half_up_sql, ms, query, rounded)
+from tidemark.plans.catalog import (LINES, RAW_BOUNDS, RAW_LOG, SENSOR, half_up_sql, ms, query, rounded)
 from tidemark.session import scratch_path
 from tidemark.sources import files, jdbc
 from tidemark.sources import log as L
@@ -46,7 +46,7 @@ def _(spark, sf):
 
 
 @query("src_json_document", """
-  SELECT event_type, event_id, user_id, count(*) OVER (PARTITION BY event_type)::BIGINT AS size FROM events""")
+  SELECT event_type, event_id, user_id, count(*) OVER (PARTITION BY event_type, event_id // 100000)::BIGINT AS size FROM events""")
 def _(spark, sf):
     events = V.table(spark, sf, "events")
     documents = files.json_documents(events, ["event_type"], ["user_id", "event_type"], "event_id",
@@ -59,7 +59,7 @@ def _(spark, sf):
 
 
 @query("sink_json_document", """
-  SELECT event_type, event_id // 1000000 AS part, count(*) AS size, sum(event_id)::BIGINT AS ids
+  SELECT event_type, event_id // 100000 AS part, count(*) AS size, sum(event_id)::BIGINT AS ids
   FROM events GROUP BY ALL""")
 def _(spark, sf):
     documents = files.json_documents(V.table(spark, sf, "events"), ["event_type"], ["value"], "event_id",
@@ -88,21 +88,21 @@ def _ranges(log):
 
 
 @query("src_log_batch_ranges", f"""
-  WITH {BOUNDS}, r AS (SELECT topic, "partition", e // 4 AS f,
+  WITH {RAW_BOUNDS}, r AS (SELECT topic, "partition", e // 4 AS f,
       CASE WHEN "partition" = 3 THEN e // 4 ELSE e * 3 // 4 END AS u FROM bounds)
-  SELECT log."partition", log."offset", log.event_id FROM log JOIN r USING (topic, "partition")
+  SELECT log."partition", log."offset", log.event_id FROM raw_log log JOIN r USING (topic, "partition")
   WHERE "offset" >= f AND "offset" < u""")
 def _(spark, sf):
-    log = V.log(spark, sf)
+    log = V.raw_log(spark, sf)
     return L.read_ranges(log, _ranges(log)).select("partition", "offset", "event_id")
 
 
 @query("src_log_assign", f"""
-  WITH {BOUNDS}
+  WITH {RAW_BOUNDS}
   SELECT topic, "partition", CASE WHEN "partition" = 0 THEN e - 10 WHEN "partition" <= 1 THEN e // 2 ELSE b END AS "offset"
   FROM bounds WHERE "partition" <> 3""")
 def _(spark, sf):
-    bounds = begin_end_offsets(V.log(spark, sf))
+    bounds = begin_end_offsets(V.raw_log(spark, sf))
     given = bounds.where("partition <= 1").select(*L.TP, F.expr("end div 2").alias("offset"))
     saved = bounds.where("partition = 0").select(*L.TP, F.expr("end - 10").alias("offset"))
     return L.start_positions(bounds, "earliest", pattern="ev.*", assign=bounds.where("partition <> 3"),
@@ -276,10 +276,10 @@ def _(spark, sf):
 
 
 @query("filter_offset_seek", f"""
-  WITH {BOUNDS} SELECT log."partition", "offset", event_id FROM log JOIN bounds USING (topic, "partition")
+  WITH {RAW_BOUNDS} SELECT log."partition", "offset", event_id FROM raw_log log JOIN bounds USING (topic, "partition")
   WHERE "offset" >= e - 100 - "partition" """)
 def _(spark, sf):
-    log = V.log(spark, sf)
+    log = V.raw_log(spark, sf)
     targets = begin_end_offsets(log).select(*L.TP, (F.col("end") - 100 - F.col("partition")).alias("offset"))
     return R.from_position(log, targets).select("partition", "offset", "event_id")
 

@@ -50,8 +50,8 @@ LOG = """log AS (
   FROM events)"""
 BOUNDS = LOG + """, bounds AS (
   SELECT topic, "partition", min("offset") AS b, max("offset") + 1 AS e FROM log GROUP BY ALL)"""
-RANGES = BOUNDS + """, ranges AS (
-  SELECT topic, "partition", e // 4 AS f, CASE WHEN "partition" = 3 THEN e // 4 ELSE e * 3 // 4 END AS u FROM bounds)"""
+RAW_BOUNDS = RAW_LOG + """, bounds AS (
+  SELECT topic, "partition", min("offset") AS b, max("offset") + 1 AS e FROM raw_log GROUP BY ALL)"""
 WORDS = """words AS (SELECT unnest(string_split(rtrim(text, ' '), ' ')) AS word FROM documents)"""
 LINES = """lines AS (SELECT unnest(string_split(text, chr(10))) AS value FROM documents)"""
 EDGES = """edges AS (

@@ -81,9 +81,8 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: str, value: str, ch
     keys = list(keys)
     tagged = df.withColumn(_CHUNK, chunk if isinstance(chunk, Column) else F.col(chunk))
     last = (
-        tagged.groupBy(*keys, _CHUNK).agg(F.max_by(F.struct(value), order).alias("last"))
-        .select(*keys, _CHUNK,
-                F.lag("last").over(Window.partitionBy(*keys).orderBy(_CHUNK)).getField(value).alias("__carry"))
+        tagged.groupBy(*keys, _CHUNK).agg(F.max_by(value, order).alias("last"))
+        .select(*keys, _CHUNK, F.lag("last").over(Window.partitionBy(*keys).orderBy(_CHUNK)).alias("__carry"))
     )
     local = Window.partitionBy(*keys, _CHUNK).orderBy(order)
     return (

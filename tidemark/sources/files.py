@@ -72,7 +72,7 @@ def write_text(df: DataFrame, path: str, column: str = "value") -> None:
 
 
 def json_documents(df: DataFrame, keys: list[str], columns: list[str], order: str, at_millis: Column,
-                   part_rows: int = 1_000_000) -> DataFrame:
+                   part_rows: int = 100_000) -> DataFrame:
     """One JSON document ``{records, size, time}`` per key and part of at most ``part_rows`` ids.
 
     ``order`` is a non-negative integer unique inside the key, so a part is bounded
