@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import bucket_millis
+from tidemark.functions.scalar import bind, bucket_millis
 from tidemark.plans.ordering import list_parts, range_chunks, running_sum
 
 # Window of the record job, and the largest id set written out in full.
@@ -103,9 +103,8 @@ def offset_summary(log: DataFrame, payload: str = "value", offsets_unique: bool
     Kept are JSON payloads with a ``value`` field and texts that are no JSON. An offset counts
     once; where the log holds none twice, ``offsets_unique`` saves the shuffle that sees to it.
     """
-    text = F.col(payload).cast("string")
-    parsed = F.try_parse_json(text)
-    kept = parsed.isNull() | F.try_variant_get(parsed, "$.value", "variant").isNotNull()
+    kept = bind(F.try_parse_json(F.col(payload).cast("string")),
+                lambda parsed: parsed.isNull() | F.try_variant_get(parsed, "$.value", "variant").isNotNull())
     rows = log.select("partition", "offset", F.when(kept, 1).otherwise(0).alias("kept"))
     if not offsets_unique:
         rows = rows.groupBy("partition", "offset").agg(F.max("kept").alias("kept"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalar import once
 from tidemark.operators import monitor as M
 from tidemark.plans import views as V
 from tidemark.plans.catalog import BATCHES, SENSOR, half_up_sql, mean3_sql, query, rounded
@@ -33,9 +34,8 @@ def _(spark, sf):
 
 def task_lines(spark, sf):
     """One task-end line of an event log per order; the order's fields stand for the figures."""
-    return V.spread(V.table(spark, sf, "orders")).select(
-        F.col("o_orderpriority").alias("app"),
-        F.expr("""to_json(named_struct(
+    orders = V.spread(V.table(spark, sf, "orders")).withColumnRenamed("o_orderpriority", "app")
+    return once(orders, ["app"], F.expr("""to_json(named_struct(
           'Event', 'SparkListenerTaskEnd', 'Stage ID', cast(o_custkey % 50 AS int), 'Stage Attempt ID', if(o_orderkey % 97 = 0, -1, 0),
           'Task Type', CASE o_orderkey % 3 WHEN 0 THEN 'ResultTask' WHEN 1 THEN 'ShuffleMapTask' ELSE 'OtherTask' END,
           'Task End Reason', named_struct(
@@ -57,7 +57,7 @@ def task_lines(spark, sf):
              'Shuffle Write Metrics', named_struct('Shuffle Bytes Written', o_orderkey + 7, 'Shuffle Write Time', o_orderkey + 8,
                 'Shuffle Records Written', o_orderkey + 9),
              'Input Metrics', named_struct('Bytes Read', o_orderkey * 10, 'Records Read', o_orderkey),
-             'Output Metrics', named_struct('Bytes Written', o_orderkey * 20, 'Records Written', o_orderkey * 2))))""").alias("value"))
+             'Output Metrics', named_struct('Bytes Written', o_orderkey * 20, 'Records Written', o_orderkey * 2))))"""), "value")
 
 
 _TASK_SQL = f"""tasks AS (SELECT o_orderpriority AS app, o_orderkey AS k, o_custkey AS c, epoch_us(o_orderdate) // 1000 AS launch, o_custkey % 5000 AS d

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import split_java
+from tidemark.functions.scalar import once, split_java
 from tidemark.plans.ordering import dense_index, id_chunk
 from tidemark.session import use_utc
 
@@ -78,10 +78,8 @@ _PAYLOAD = """
 def json_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log rows with binary JSON payloads, good and bad; offset is the event id."""
     return (
-        spread(raw_log(spark, sf_dir))
-        .withColumn("t", F.unix_millis("timestamp"))
-        .withColumnRenamed("num", "value")
-        .withColumn("payload", F.expr(_PAYLOAD))
+        once(spread(raw_log(spark, sf_dir)).withColumnRenamed("num", "value").withColumn("t", F.unix_millis("timestamp")),
+             ["topic", "partition", "offset", "timestamp", "key", "event_id"], F.expr(_PAYLOAD), "payload")
         .select("topic", "partition", "offset", "timestamp", F.encode("key", "UTF-8").alias("key"),
                 F.encode("payload", "UTF-8").alias("value"), "event_id")
     )
