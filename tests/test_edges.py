@@ -324,3 +324,20 @@ def test_log_options():
                        "maxOffsetsPerTrigger": "7", "includeHeaders": "true"}
     with pytest.raises(ValueError):
         L.kafka_options("h:1", topics=["a"], pattern="b")
+
+
+def test_session_zone_is_pinned(spark):
+    from tidemark.session import use_utc
+
+    for zone in ("Europe/Paris", None):
+        spark.conf.set("spark.sql.session.timeZone", zone) if zone else spark.conf.unset("spark.sql.session.timeZone")
+        use_utc(spark)
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    from tidemark.session import scratch_path, shared_dir
+
+    base = spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark) == base and scratch_path(spark, "x").startswith(f"{base}/tidemark/x-")
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")

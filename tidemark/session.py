@@ -31,7 +31,7 @@ def build_session(app: str = "tidemark", cores: int | str = "*", shuffle_partiti
 
 def use_utc(spark: SparkSession) -> None:
     """All time arithmetic here is on UTC; pin the session zone once."""
-    if spark.conf.get("spark.sql.session.timeZone", "") != "UTC":
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
@@ -45,7 +45,6 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", base)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")

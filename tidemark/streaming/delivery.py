@@ -17,13 +17,17 @@ from tidemark.schemas import POSITIONS
 from tidemark.sources.log import TP
 
 
+# The schema is given, so a look at the ledger opens no file to find it out.
+LEDGER = "topic string, partition int, next_offset bigint, batch_id bigint"
+
+
 def _ledger(spark: SparkSession, path: str) -> DataFrame:
     try:
-        return spark.read.parquet(f"{path}/ledger")
+        return spark.read.schema(LEDGER).parquet(f"{path}/ledger")
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], "topic string, partition int, next_offset bigint, batch_id int")
+        return spark.createDataFrame([], LEDGER)
 
 
 def exactly_once_writer(path: str, work: Callable[[DataFrame], DataFrame] = lambda d: d,

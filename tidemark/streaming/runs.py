@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ def run_batches(stream: DataFrame, fn: BatchFn, checkpoint: str, mode: str = "ap
         .trigger(availableNow=True).foreachBatch(fn).start()
     )
     query.awaitTermination()
-    return [dict(p) if isinstance(p, dict) else __import__("json").loads(p.json) for p in query.recentProgress]
+    return [json.loads(p.json) for p in query.recentProgress]
 
 
 def update_table(stream: DataFrame, keys: list[str], label: str, path: str | None = None) -> DataFrame:
