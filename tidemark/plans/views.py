@@ -11,6 +11,9 @@ from tidemark.session import use_utc
 
 PARTITIONS = 4
 
+# A scan of fewer splits (128 MB each by default) is small.
+SMALL_SPLITS = 64
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     use_utc(spark)
@@ -18,12 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Share a scan out when it has fewer splits than there are cores, as one small file does.
+    """Share a small scan out when it has fewer splits than there are cores, as one file of one row group does.
 
-    For work that is heavy per row. A large table has more splits than cores and is left alone.
+    For work that is heavy per row. Only a few splits are ever moved; a larger table is left alone.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, SMALL_SPLITS) else df
 
 
 def sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
