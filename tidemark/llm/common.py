@@ -191,6 +191,33 @@ class Words:
         return values, np.concatenate([[0], np.cumsum(counts)])
 
 
+class Lazy:
+    """A value that each task makes for itself when first asked; nothing of it travels."""
+
+    def __init__(self, make: Callable[[], object]) -> None:
+        self.make, self.made = make, []
+
+    def __call__(self):
+        if not self.made:
+            self.made.append(self.make())
+        return self.made[0]
+
+    def __reduce__(self):
+        return Lazy, (self.make,)
+
+
+def text_udf(work: Callable[[pa.Array], pa.Array], returns: str):
+    """A vectorised function of one text column; long batches reach ``work`` in blocks of bounded size."""
+
+    def run(texts):
+        batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+        out = [work(block.column("text")) for block in blocks([batch], "text")]
+        return pa.concat_arrays(out) if out else work(texts)
+
+    run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, returns)
+
+
 def word_hash(word: str) -> int:
     """Hash that ``Words`` gives to a word."""
     codes, starts = text_codes(pa.array([word]))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, tokens, warc
+from tidemark.llm import ann, language, quality, secret_scan, tokens, toxicity, warc
 from tidemark.llm.common import table
 from tidemark.session import scratch_path
 
@@ -34,6 +34,36 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_digests(spark, path)
 
 
+@query
+def op1_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts and digest of the base patterns, and all spans."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = secret_scan.found_spans(docs, keep=["doc_id"])
+    base = F.filter("spans", lambda x: x.k < 3)
+    count = lambda kind: F.size(F.filter("spans", lambda x: x.kind == kind)).cast("long").alias(f"n_{kind}")
+    return rows.select("doc_id", count("assign"), count("access"), count("hex"),
+                       F.sha2(secret_scan.span_text(base).cast("binary"), 256).alias("base_sha256"),
+                       secret_scan.span_text("spans").alias("spans"))
+
+
 @query
 def op9_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives of all pages, written and read back."""
