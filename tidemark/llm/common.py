@@ -49,6 +49,16 @@ def crc_of_id(column: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(0))
 
 
+def hash_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
+    """About the first ``rows`` rows by a hash of ``key``, and never more.
+
+    The hash is cut by the row count first, so that a task passes on its share and not ``rows`` rows.
+    """
+    share = min(1.0, 1.5 * rows / max(1, df.count()))
+    held = df.withColumn("__hash", F.xxhash64(key)).where(F.pmod("__hash", F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    return held.orderBy(F.pmod("__hash", F.lit(1 << 20)), "__hash").limit(rows).drop("__hash")
+
+
 def shuffle_count(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import Characters, Lazy, crc_of_id, in_blocks, ship, small_batches, text_codes
 
 # The sample: at most so many documents and characters of each, and so many characters in all, per language.
-SAMPLE_DOCS, SAMPLE_CHARS_EACH, SAMPLE_CHARS = 300, 1500, 24_000
+SAMPLE_DOCS, SAMPLE_CHARS_EACH, SAMPLE_CHARS = 300, 1500, 32_000
 # Languages are the most frequent labels, at most so many.
 MAX_LANGUAGES = 64
 LANE = 512
@@ -133,17 +133,20 @@ def language_samples(docs: DataFrame, text_column: str = "text", lang_column: st
     """Bounded labelled text of each language: the first documents by a hash of their text."""
     rows = docs.select(F.col(lang_column).cast("string").alias("lang"), F.col(text_column).cast("string").alias("text"))
     rows = rows.where("lang is not null and text is not null and text rlike '\\\\p{L}'")
-    names = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
-    samples = {}
-    if names:
-        # Rare languages give all they have; of frequent ones the hash picks, so that each task sorts few rows.
-        order = Window.partitionBy("lang").orderBy("h", "text")
-        picked = (rows.where(F.col("lang").isin(names)).withColumn("h", F.xxhash64("text"))
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    samples: dict[str, str] = {}
+    if counts:
+        # The hash is cut by each language's count first, so that a task passes on its share only.
+        share = F.create_map(*[F.lit(x) for r in counts for x in (r.lang, int((1 << 20) * min(1, 2 * SAMPLE_DOCS / r["count"])) + 1)])
+        order = Window.partitionBy("lang").orderBy("h")  # about 2 * SAMPLE_DOCS rows of a language
+        picked = (rows.withColumn("h", F.xxhash64("text"))
+                  .where(F.pmod("h", F.lit(1 << 20)) < F.try_element_at(share, F.col("lang")))
                   .select("lang", "h", F.substring("text", 1, SAMPLE_CHARS_EACH).alias("text"))
+                  .dropDuplicates(["lang", "h"])
                   .withColumn("r", F.row_number().over(order)).where(F.col("r") <= SAMPLE_DOCS))
         for r in picked.orderBy("lang", "r").collect():  # bounded: MAX_LANGUAGES * SAMPLE_DOCS texts
             held = samples.get(r.lang, "")
-            if len(held) < SAMPLE_CHARS and r.text not in held:
+            if len(held) < SAMPLE_CHARS:
                 samples[r.lang] = (held + " " + r.text)[:SAMPLE_CHARS]
     return samples
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import trees
-from tidemark.llm.common import Characters, Lazy, Words, crc_of_id, ship, small_batches, text_codes, text_udf
+from tidemark.llm.common import Characters, Lazy, Words, crc_of_id, hash_sample, ship, small_batches, text_codes, text_udf
 
 # The trees learn from at most so many labelled documents, the first by a hash of their id.
 TRAIN_ROWS = 20_000
@@ -65,9 +65,9 @@ def statistics(texts: pa.Array, chars: Characters) -> np.ndarray:
 
 def labelled(labels: DataFrame, column: str, rows: int, chosen: Column) -> DataFrame:
     """``doc_id, y`` of a bounded sample of labelled ids; an id with several labels has their rounded mean."""
-    return (labels.where(F.col(column).isNotNull() & F.col("doc_id").isNotNull() & chosen)
-            .groupBy("doc_id").agg(F.when(F.avg(column) >= 0.5, 1).otherwise(0).alias("y"))
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
+    one_each = (labels.where(F.col(column).isNotNull() & F.col("doc_id").isNotNull() & chosen)
+                .groupBy("doc_id").agg(F.when(F.avg(column) >= 0.5, 1).otherwise(0).alias("y")))
+    return hash_sample(one_each, F.col("doc_id"), rows)
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict:

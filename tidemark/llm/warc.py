@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import kept, ship, small_batches
+from tidemark.llm.common import hash_sample, kept, ship, small_batches
 
 # Fixed values of the Zstandard and WARC formats.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -144,9 +144,9 @@ def train_dictionary(pages: DataFrame) -> bytes:
     """A dictionary from a bounded sample of pages; empty where they are too few to train on."""
     import zstandard
 
-    sample = (pages.where("html is not null and length(html) > 0")
-              .select(F.xxhash64("html").alias("h"), F.substring("html", 1, DICTIONARY_CHARS).alias("t"))
-              .orderBy("h", "t").limit(DICTIONARY_PAGES).collect())
+    some = pages.where("html is not null and length(html) > 0")
+    sample = (hash_sample(some, F.col("html"), DICTIONARY_PAGES)
+              .select(F.substring("html", 1, DICTIONARY_CHARS).alias("t")).orderBy("t").collect())
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, [r.t.encode("utf-8", "replace") for r in sample]).as_bytes()
     except (zstandard.ZstdError, ValueError):
