@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, language, quality, secret_scan, tokens, toxicity, warc
+from tidemark.llm import ann, decontaminate, jaccard, language, packing, quality, secret_scan, tokens, toxicity, warc
 from tidemark.llm.common import table
 from tidemark.session import scratch_path
 
@@ -26,6 +26,25 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op2_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of document and benchmark item that occurs in it, with the edits and the region."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = docs.select("doc_id", F.explode(decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))).alias("m"))
+    return found.select("doc_id", "m.item_id", "m.edits", "m.begin", "m.end")
+
+
+@query
+def op4_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document."""
+    return jaccard.join_documents(table(spark, sf_dir, "documents"))
+
+
+def packing_length():
+    """Units of a text for a model on bytes: its UTF-8 and one end mark."""
+    return F.coalesce(F.octet_length("text"), F.lit(0)) + 1
+
+
 @query
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written and read back; digests come from the files."""
@@ -40,6 +59,12 @@ def op1_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_variable_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, measured in bytes of UTF-8 and an end mark, packed into sequences."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), packing_length())
+
+
 @query
 def op6_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document."""
