@@ -150,6 +150,15 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def span_hash(symbols: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans of small whole numbers, by sums of a polynomial."""
+    n = len(symbols)
+    with np.errstate(over="ignore"):
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((symbols.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, n)[:n], out=sums[1:])
+        return mix((sums[end] - sums[begin]) * _powers(_BASE_INVERSE, n)[begin])
+
+
 class Words:
     """Words of a block: runs of letters and digits, case folded, as 64-bit hashes with their places."""
 
@@ -163,10 +172,7 @@ class Words:
         self.begin = np.flatnonzero(inside & (~before | first[:-1]))
         after = np.concatenate([inside[1:], [False]]) if n else inside
         self.end = np.flatnonzero(inside & (~after | first[1:])) + 1
-        with np.errstate(over="ignore"):
-            sums = np.zeros(n + 1, np.uint64)
-            np.cumsum((chars.fold[codes].astype(np.uint64) + np.uint64(1)) * _powers(_BASE, n)[:n], out=sums[1:])
-            self.hash = mix((sums[self.end] - sums[self.begin]) * _powers(_BASE_INVERSE, n)[self.begin])
+        self.hash = span_hash(chars.fold[codes], self.begin, self.end)
         # Words of text i are at from[i]:from[i + 1].
         self.offsets = np.searchsorted(self.begin, starts)
 

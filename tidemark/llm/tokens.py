@@ -19,13 +19,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blocks, shuffle_count, ship, small_batches
+from tidemark.llm.common import Characters, blocks, ship, shuffle_count, small_batches, span_hash, text_codes
 
 SCHEMA = "part int, doc_id bigint, start_in_part bigint, n_tokens int, ids array<int>"
 # Fixed value: the word split of the byte-level vocabulary files.
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Pieces whose ids a worker remembers; the memory of pieces starts anew beyond them.
-REMEMBERED = 600_000
+# Pieces and words whose ids a worker remembers; the memory starts anew beyond them.
+REMEMBERED, REMEMBERED_WORDS = 2_000_000, 150_000
+LONG = 64
+# Bytes of text that are encoded together.
+STEP_BYTES = 2 << 20
 
 
 def _encoder(text: str):
@@ -37,31 +40,17 @@ def _encoder(text: str):
     return kept.__dict__[key]
 
 
-class _Memory(dict):
-    """Piece to its number; an unknown piece is encoded when asked for."""
-
-    def __init__(self, encode) -> None:
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, piece: str) -> int:
-        self[piece] = code = len(self)
-        self.encode(piece)
-        return code
-
-
 class PieceEncoder:
     """Encodes texts piece by piece, each different piece once.
 
     Before a space that a letter or digit follows, the word split of a byte-level vocabulary always cuts. Ids of a
-    text are therefore those of the pieces between such spaces, one after the other. The library's own model encodes
-    every word of a new piece; a tokenizer of another kind encodes whole texts.
+    text are therefore those of the pieces between such places, one after the other. Pieces are told apart by 64-bit
+    hashes, made for a whole block at once; the library's own model encodes every word of a new piece. Pieces of more
+    than ``LONG`` characters are always encoded anew, and a tokenizer of another kind encodes whole texts.
     """
 
     def __init__(self, text: str) -> None:
-        import json
         import os
-        import re
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
@@ -70,13 +59,10 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_str(text)
         self.tokenizer.encode_special_tokens = True
-        self.cut = re.compile(r" (?=[^\W_])").split
         self.words = regex.compile(SPLIT).findall
-        spec = json.loads(text)
-        pre = spec.get("pre_tokenizer") or {}
-        self.by_piece = (spec["model"]["type"] == "BPE" and spec.get("normalizer") is None
-                         and pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
-                         and not pre.get("add_prefix_space"))
+        pre = self.tokenizer.pre_tokenizer
+        self.by_piece = (type(self.tokenizer.model).__name__ == "BPE" and self.tokenizer.normalizer is None
+                         and isinstance(pre, ByteLevel) and pre.use_regex and not pre.add_prefix_space)
         # The library names each byte by a printable character; ask it for the names.
         # Bytes that never occur in UTF-8 need none.
         name = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
@@ -87,24 +73,36 @@ class PieceEncoder:
                 self.names |= dict(zip(chr(c).encode().decode("latin-1"), name(chr(c))[0][0], strict=True))
         self.names = {ord(k): v for k, v in self.names.items()}
         self.word_ids: dict[str, list[int]] = {}
+        self.chars = Characters()
         self.forget()
 
     def forget(self) -> None:
-        self.codes = _Memory(self.learn)
-        self.ids, self.lengths = array.array("I"), array.array("I")
-        self.word_ids.clear()
-
-    def learn(self, key: str) -> None:
-        """A first piece has NUL before it, all others stand for the piece behind its space."""
-        piece = key[1:] if key[0] == "\0" else " " + key
-        n = len(self.ids)
-        for word in self.words(piece):
-            found = self.word_ids.get(word)
-            if found is None:
-                named = word.encode("utf-8", "replace").decode("latin-1").translate(self.names)
-                found = self.word_ids[word] = [t.id for t in self.tokenizer.model.tokenize(named)]
-            self.ids.extend(found)
-        self.lengths.append(len(self.ids) - n)
+        self.hashes, self.codes = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.ids, self.starts = array.array("I"), array.array("q", [0])
+
+    def word(self, word: str) -> list[int]:
+        found = self.word_ids.get(word)
+        if found is None:
+            if len(self.word_ids) >= REMEMBERED_WORDS:
+                self.word_ids.clear()
+            named = word.encode("utf-8", "replace").decode("latin-1").translate(self.names)
+            found = self.word_ids[word] = [t.id for t in self.tokenizer.model.tokenize(named)]
+        return found
+
+    def learn(self, pieces: list[str], inner: bool) -> None:
+        """Encode pieces; ``inner``: each starts with a space and a letter or digit, so all can be split as one text."""
+        starts, ids, get = [], self.ids, self.word_ids.get
+        if inner:
+            for word in self.words("".join(pieces)):
+                if word[0] == " " and word[1:2].isalnum():
+                    starts.append(len(ids))
+                ids.extend(get(word) or self.word(word))
+        else:
+            for piece in pieces:
+                starts.append(len(ids))
+                for word in self.words(piece):
+                    ids.extend(get(word) or self.word(word))
+        self.starts.extend([*starts[1:], len(ids)] if starts else [])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the count of each."""
@@ -112,22 +110,47 @@ class PieceEncoder:
             lists = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
             counts = np.fromiter(map(len, lists), np.int64, len(lists))
             return np.fromiter((i for x in lists for i in x), np.uint32, int(counts.sum())), counts
-        if len(self.codes) > REMEMBERED:
+        codes, starts = text_codes(pa.array(texts, pa.string()))
+        if not len(codes):
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        self.chars.learn(codes)
+        cut = np.zeros(len(codes), bool)
+        cut[:-1] = (codes[:-1] == 32) & self.chars.word[codes[1:]]
+        inner = cut.copy()
+        first = starts[:-1][starts[:-1] < starts[1:]]
+        last = starts[1:][starts[:-1] < starts[1:]] - 1
+        inner[last] = cut[last] = False  # the letter behind it is another text's
+        cut[first] = True
+        begin = np.flatnonzero(cut)
+        end = np.concatenate([begin[1:], [len(codes)]])
+        keys, at, which = np.unique(span_hash(codes, begin, end), return_index=True, return_inverse=True)
+        if len(self.hashes) > REMEMBERED:
             self.forget()
-        flat: list[str] = []
-        ends = np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            pieces = self.cut(text)
-            pieces[0] = "\0" + pieces[0]
-            flat += pieces
-            ends[i] = len(flat)
-        codes = np.fromiter(map(self.codes.__getitem__, flat), np.int64, len(flat))
-        known, lengths = np.array(self.ids, np.uint32), np.array(self.lengths, np.int64)
-        n = lengths[codes]
+        place = np.searchsorted(self.hashes, keys)
+        new = np.ones(len(keys), bool)
+        if len(self.hashes):
+            new = self.hashes[np.minimum(place, len(self.hashes) - 1)] != keys
+        whole = "".join(texts)
+        code = np.zeros(len(keys), np.int64)
+        code[~new] = self.codes[place[~new]]
+        for kind in (True, False):
+            some = np.flatnonzero(new & (inner[begin[at]] == kind))
+            code[some] = len(self.starts) - 1 + np.arange(len(some))
+            self.learn([whole[a:b] for a, b in zip(begin[at[some]].tolist(), end[at[some]].tolist(), strict=True)], kind)
+        short = new & (end[at] - begin[at] <= LONG)
+        into = place[short]
+        self.hashes, self.codes = np.insert(self.hashes, into, keys[short]), np.insert(self.codes, into, code[short])
+        long = np.flatnonzero(end - begin > LONG)
+        of_piece = code[which]
+        if len(long):  # each on its own: equal hashes prove less here
+            of_piece[long] = len(self.starts) - 1 + np.arange(len(long))
+            self.learn([whole[a:b] for a, b in zip(begin[long].tolist(), end[long].tolist(), strict=True)], False)
+        known, bounds = np.frombuffer(self.ids, np.uint32), np.frombuffer(self.starts, np.int64)
+        n = (bounds[1:] - bounds[:-1])[of_piece]
         upto = np.cumsum(n)
-        ids = known[np.repeat((np.cumsum(lengths) - lengths)[codes] - (upto - n), n) + np.arange(int(n.sum()))]
-        sums = np.concatenate([[0], upto])[ends]
-        return ids, np.diff(np.concatenate([[0], sums]))
+        ids = known[np.repeat(bounds[of_piece] - (upto - n), n) + np.arange(int(upto[-1]))]
+        sums = np.concatenate([[0], upto])[np.searchsorted(begin, starts)]
+        return ids, np.diff(sums)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = 0, partitions: int | None = None,
@@ -145,7 +168,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
 
     def encode(batches):
         encoder, part, start = _encoder(shared.value), TaskContext.get().partitionId(), 0
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", STEP_BYTES):
             ids, counts = encoder.encode([t or "" for t in block.column("text").to_pylist()])
             ends = np.cumsum(counts)
             ids = np.insert(ids.astype(np.int32), ends, np.int32(end_id))
