@@ -3,7 +3,7 @@
 A unit vector is padded, rotated by one random orthogonal matrix and kept as the signs of its coordinates. The inner
 product of a code with the rotated query, divided by the code's inner product with its own vector, estimates the
 cosine; its error has a bound that shrinks with the number of bits. A vector is compared exactly only if its upper
-bound reaches the k-th best lower bound among the vectors seen together with it.
+bound reaches the k-th best inner product known so far, which the vectors of the highest estimates give.
 """
 
 from __future__ import annotations
@@ -125,20 +125,24 @@ def search(index: DataFrame, dimension: int, queries: DataFrame, k: int = 20) ->
                                        vectors[a:a + 512], turn)
                     for j in range(len(low)):
                         q = a + j
-                        other = own != ids[q]
-                        kth = -np.inf
-                        if len(own) > k:
-                            lows = low[j][other]
-                            if len(lows) >= k:
-                                kth = np.partition(lows, len(lows) - k)[len(lows) - k]
-                        scores, seen = best[q]
-                        if len(scores) == k:
-                            kth = max(kth, scores[-1])
-                        pick = np.flatnonzero(other & (high[j] >= kth))
+                        low[j][own == ids[q]] = high[j][own == ids[q]] = -np.inf
+                        kth = best[q][0][-1] if len(best[q][0]) == k else -np.inf
+                        first = np.zeros(0, np.int64)
+                        if len(own) > 4 * k:
+                            # The likeliest are compared exactly first; the k-th of them is what others must reach.
+                            middle = low[j] + high[j]
+                            first = np.argpartition(middle, len(own) - 2 * k)[-2 * k:]
+                            first = first[high[j][first] >= kth]
+                            exact = (x[first] * vectors[q]).sum(axis=1)
+                            if len(exact) >= k:
+                                kth = max(kth, np.partition(exact, len(exact) - k)[len(exact) - k])
+                            high[j][first] = -np.inf
+                        pick = np.flatnonzero((high[j] >= kth) & (high[j] > -np.inf))
+                        pick = np.concatenate([first, pick])
                         if not len(pick):
                             continue
-                        scores = np.concatenate([scores, (x[pick] * vectors[q]).sum(axis=1)])
-                        seen = np.concatenate([seen, own[pick]])
+                        scores = np.concatenate([best[q][0], (x[pick] * vectors[q]).sum(axis=1)])
+                        seen = np.concatenate([best[q][1], own[pick]])
                         order = np.lexsort((seen, -scores))[:k]
                         best[q] = scores[order], seen[order]
 

@@ -121,11 +121,13 @@ class CrossParser:
             now = symbols[begin[:active] + step]
             to = flat.take(state[:, :active] * width + now)
             fail = to == 0
-            phrases[:, :active] += fail
-            # A phrase ends: the character starts the next one, or is unknown to the language altogether.
-            again = np.maximum(flat.take(roots * width + now), roots)
-            state[:, :active] = np.where(fail, again, to)
-        sums = np.stack([np.bincount(owner, weights=phrases[i] + 1, minlength=n_texts) for i in range(n_lang)], axis=1)
+            # A phrase ends; the character starts the next one, or is a phrase of its own if the language lacks it.
+            again = flat.take(roots * width + now)
+            phrases[:, :active] += fail & (state[:, :active] != roots)
+            phrases[:, :active] += fail & (again == 0)
+            state[:, :active] = np.where(fail, np.maximum(again, roots), to)
+        phrases += state != roots
+        sums = np.stack([np.bincount(owner, weights=phrases[i], minlength=n_texts) for i in range(n_lang)], axis=1)
         return sums * np.array(self.weights) / np.maximum(1, lengths)[:, None]
 
 
