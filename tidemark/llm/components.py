@@ -25,7 +25,7 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
         both = held.unionAll(held.selectExpr("b AS a", "a AS b"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = (both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .where("a <> b").distinct())
+                 .where("a <> b"))
         # Small star: smaller neighbours, and the node itself, move to the smallest of them.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(

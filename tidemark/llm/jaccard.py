@@ -28,8 +28,9 @@ THRESHOLD = 0.8  # of the exact Jaccard similarity, as 4 / 5 in whole numbers be
 COORDINATES = 64
 TARGET = 0.99  # recall of a pair at the threshold whose buckets split up to four times
 SMALL = 128
-# Estimates from minhashes: candidates from here on; near the pivot from there on.
-CANDIDATE, NEAR = 0.62, 0.9
+# Estimates from minhashes: candidates from here on; near the pivot from there on. A partner of a near set is at a
+# distance of at most (1 - NEAR) + (1 - THRESHOLD) = 0.4 from the pivot, and 1 - CANDIDATE leaves room for chance.
+CANDIDATE, NEAR = 0.48, 0.8
 # Shingles and sets of one block of the exact check, on average.
 BLOCK_SHINGLES, BLOCK_SETS = 1 << 20, 2048
 
@@ -318,11 +319,14 @@ def _exact(batches):
                     names=["node", "texts", "docs", "head"])
 
 
-def exact_links(gathered: DataFrame) -> DataFrame:
-    """``node, texts, docs, head`` in parts to be summed. ``gathered``: root, node, copies, shingles."""
+def exact_links(gathered: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node, texts, docs, head`` in parts to be summed.
+
+    ``gathered``: root, node, copies, shingles; ``wanted``: root, node, n for the same nodes, which gives the blocks.
+    """
     spark = gathered.sparkSession
-    blocks = (gathered.groupBy("root").agg(F.sum(F.size("shingles")).alias("s"), F.count(F.lit(1)).alias("n"))
-              .select("root", F.expr(f"cast(ceil(greatest(s / {BLOCK_SHINGLES}, n / {BLOCK_SETS})) AS int)").alias("blocks")))
+    blocks = (wanted.groupBy("root").agg(F.sum("n").alias("s"), F.count(F.lit(1)).alias("c"))
+              .select("root", F.expr(f"cast(ceil(greatest(s / {BLOCK_SHINGLES}, c / {BLOCK_SETS})) AS int)").alias("blocks")))
     rows = gathered.join(blocks, "root").withColumn("block", F.expr("cast(pmod(xxhash64(node), blocks) AS int)"))
     # A block meets itself and every other block: pairs (i, j), i <= j, that name it.
     rows = (rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
@@ -360,14 +364,14 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = sets.select("doc_id", "node")
     some = sets.where("node is not null")
     reps = kept(some.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
-                                         F.any_value("sig").alias("sig")), "representatives")
+                                         F.any_value("n").alias("n"), F.any_value("sig").alias("sig")), "representatives")
     gathered = components(candidate_links(reps.select("node", "sig")), "gatherings")
-    wanted = kept(gathered.join(reps.select("node", "rep", "copies"), "node"), "wanted")
+    wanted = kept(gathered.join(reps.select("node", "rep", "copies", "n"), "node"), "wanted")
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-             .join(wanted, F.col("doc_id").eqNullSafe(F.col("rep"))).select("root", "node", "copies", "text"))
+             .join(wanted.hint("shuffle_merge"), F.col("doc_id").eqNullSafe(F.col("rep"))).select("root", "node", "copies", "text"))
     if _repeats(members):  # with other texts, maybe: a row counts only if its own set is the one that is asked for
         texts = kept(texts.withColumn("own", node_of(texts)).where("own = node").drop("own").dropDuplicates(["node"]), "texts")
-    checked = kept(exact_links(_shingle_rows(texts)), "links")
+    checked = kept(exact_links(_shingle_rows(texts), wanted), "links")
     sums = checked.groupBy("node").agg(F.sum("texts").alias("texts"), F.sum("docs").alias("docs"))
     roots = components(checked.selectExpr("node AS a", "head AS b"), "classes")
     info = (reps.select("node", "rep", "copies").join(roots, "node", "left").join(sums, "node", "left")

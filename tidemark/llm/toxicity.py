@@ -97,8 +97,12 @@ class LabelModel:
 
     def __init__(self, votes: np.ndarray, prior: float, rounds: int = 25) -> None:
         kinds = np.stack([votes == k for k in (-1, 0, 1)]).astype(float)  # kind, row, voter
-        p = sigmoid(3.0 * votes.clip(0).sum(axis=1) + 1.5 * votes.clip(max=0).sum(axis=1) + np.log(prior / (1 - prior)))
-        self.weight = np.ones(votes.shape[1])
+        # Voters that say nearly the same on all rows are one voter from the start.
+        twins = self.together(votes - votes.mean(axis=0))
+        twins = np.where(twins > 0.9, twins, 0)
+        self.weight = 1 / (1 + twins.sum(axis=1))
+        p = sigmoid(3.0 * (votes.clip(0) * self.weight).sum(axis=1) + 1.5 * (votes.clip(max=0) * self.weight).sum(axis=1)
+                    + np.log(prior / (1 - prior)))
         for step in range(rounds):
             toxic = np.einsum("krv,r->kv", kinds, p) + 0.5
             clean = np.einsum("krv,r->kv", kinds, 1 - p) + 0.5
@@ -107,17 +111,22 @@ class LabelModel:
             left = votes - (p[:, None] * (kinds * p[None, :, None]).sum(axis=1)[2] / max(p.sum(), 1e-9)
                             + (1 - p)[:, None] * (kinds * (1 - p)[None, :, None]).sum(axis=1)[2]
                             / max((1 - p).sum(), 1e-9))
-            left = left - left.mean(axis=0)
-            size = np.sqrt((left ** 2).sum(axis=0))
-            self.correlation = (left.T @ left) / np.maximum(np.outer(size, size), 1e-9)
-            strong = np.where(np.abs(self.correlation) > 0.2, np.abs(self.correlation), 0)
-            np.fill_diagonal(strong, 0)
+            self.correlation = self.together(left - left.mean(axis=0))
+            strong = np.maximum(np.where(self.correlation > 0.2, self.correlation, 0), twins)
             self.weight = 1 / (1 + strong.sum(axis=1))
             ratio = np.einsum("krv,kv->r", kinds, (self.tables[0] - self.tables[1]) * self.weight)
             p = sigmoid(ratio + np.log(prior / (1 - prior)))
         self.posterior = p
         self.accuracy = np.exp(self.tables[0][2]), np.exp(self.tables[1][2])
 
+    @staticmethod
+    def together(left: np.ndarray) -> np.ndarray:
+        """Absolute correlation of columns; 0 with themselves."""
+        size = np.sqrt((left ** 2).sum(axis=0))
+        out = np.abs(left.T @ left) / np.maximum(np.outer(size, size), 1e-9)
+        np.fill_diagonal(out, 0)
+        return out
+
 
 def fit_linear(x: np.ndarray, p: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
     """Logistic regression on soft labels, by Newton steps; the last weight is the constant."""
@@ -166,7 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict:
     """Classifier from labelled documents whose crc32 of the id, modulo 4, is not 2.
 
     Labels choose the mined words and give the share of toxic texts; the classifier's targets are the label model's.
-    Without labelled documents the share is 5 % and the given lists alone decide.
+    Without labelled documents the given lists alone decide.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -186,13 +195,14 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict:
     if found:
         both = np.array([r.x for r in found])
         y = np.array([r.y for r in found])
-    else:  # one clean and one toxic text with all list votes, so that the lists alone decide
-        both, y = np.zeros((2, len(VOTERS) + len(LEXICONS) + 4)), np.array([0, 1])
-        both[1, :len(LEXICONS)] = 1
+    else:  # made up: clean texts, and toxic ones with a vote of each list, so that the lists alone decide
+        both = np.zeros((400 + 40 * len(LEXICONS), len(VOTERS) + len(LEXICONS) + 4))
+        both[400:, :len(LEXICONS)] = np.repeat(np.eye(len(LEXICONS)), 40, axis=0)
+        y = (np.arange(len(both)) >= 400).astype(int)
     votes, rates = both[:, :len(VOTERS)].astype(int), both[:, len(VOTERS):]
-    prior = (y.sum() + 0.5) / (len(y) + 1) if found else 0.05
-    labels_of = LabelModel(votes, float(prior))
-    return model | {"weights": fit_linear(design(votes, rates), labels_of.posterior), "voters": labels_of.accuracy,
+    labels_of = LabelModel(votes, float((y.sum() + 0.5) / (len(y) + 1)))
+    target = labels_of.posterior if found else y
+    return model | {"weights": fit_linear(design(votes, rates), target), "voters": labels_of.accuracy,
                     "correlation": labels_of.correlation}
 
 
