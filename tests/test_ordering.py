@@ -87,7 +87,9 @@ def test_nearest_rank_against_sorted_lists(spark, series):
 def test_lists_come_in_parts_and_stay_whole(spark):
     edges = spark.range(1000).selectExpr("'hub' AS src", "concat('n', id % 400) AS dst")
     parts = adjacency(edges, 50).collect()
-    assert len(parts) == 8 and max(len(p["neighbours"]) for p in parts) < 100
+    assert len(parts) == 8 and {len(p["neighbours"]) for p in parts} == {50}
+    ordered = [x for p in sorted(parts, key=lambda p: p["part"]) for x in p["neighbours"]]
+    assert ordered == sorted(f"n{i}" for i in range(400))
     assert sorted(x for p in parts for x in p["neighbours"]) == sorted(f"n{i}" for i in range(400))
     profile = partition_profile(edges.selectExpr("1 AS p", "dst"), "p", "dst", 100).collect()
     assert {(r["rows"], r["points"]) for r in profile} == {(1000, 400)} and sum(len(r["ids"]) for r in profile) == 400

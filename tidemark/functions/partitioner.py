@@ -16,27 +16,33 @@ MIX_SHIFT = 24
 TAIL_SHIFTS = (13, 15)
 
 
-def _hash_batch(keys: pd.Series) -> pd.Series:
-    """All keys of an Arrow batch at once: step i hashes the i-th word of every key that has one."""
-    sizes = keys.map(len).to_numpy(dtype=np.int64)
-    starts = np.cumsum(sizes) - sizes
-    data = np.frombuffer(b"".join(keys) + bytes(4), dtype=np.uint8).astype(np.uint32)
-    factor = np.uint32(MULTIPLIER)
-    hashes = np.uint32(SEED) ^ sizes.astype(np.uint32)
-    for word in range(int(sizes.max(initial=0)) // 4):
-        rows = sizes >= 4 * (word + 1)
-        at = starts[rows] + 4 * word
-        mixed = (data[at] | data[at + 1] << 8 | data[at + 2] << 16 | data[at + 3] << 24) * factor
-        mixed ^= mixed >> MIX_SHIFT
-        hashes[rows] = hashes[rows] * factor ^ mixed * factor
-    left = sizes % 4
-    tail = np.zeros(len(sizes), dtype=np.uint32)
-    for i in range(3):
-        rows = left > i
-        tail[rows] |= data[(starts + sizes - left)[rows] + i] << (8 * i)
-    hashes = np.where(left > 0, (hashes ^ tail) * factor, hashes)
-    hashes = (hashes ^ hashes >> TAIL_SHIFTS[0]) * factor
-    return pd.Series((hashes ^ hashes >> TAIL_SHIFTS[1]).view(np.int32))
+def _hasher():
+    """The hash of a batch as a closure: it travels by value, so executors need not have this package."""
+    seed, multiplier, mix_shift, tail_shifts = SEED, MULTIPLIER, MIX_SHIFT, TAIL_SHIFTS
+
+    def hash_batch(keys: pd.Series) -> pd.Series:
+        """All keys of an Arrow batch at once: step i hashes the i-th word of every key that has one."""
+        sizes = keys.map(len).to_numpy(dtype=np.int64)
+        starts = np.cumsum(sizes) - sizes
+        data = np.frombuffer(b"".join(keys) + bytes(4), dtype=np.uint8).astype(np.uint32)
+        factor = np.uint32(multiplier)
+        hashes = np.uint32(seed) ^ sizes.astype(np.uint32)
+        for word in range(int(sizes.max(initial=0)) // 4):
+            rows = sizes >= 4 * (word + 1)
+            at = starts[rows] + 4 * word
+            mixed = (data[at] | data[at + 1] << 8 | data[at + 2] << 16 | data[at + 3] << 24) * factor
+            mixed ^= mixed >> mix_shift
+            hashes[rows] = hashes[rows] * factor ^ mixed * factor
+        left = sizes % 4
+        tail = np.zeros(len(sizes), dtype=np.uint32)
+        for i in range(3):
+            rows = left > i
+            tail[rows] |= data[(starts + sizes - left)[rows] + i] << (8 * i)
+        hashes = np.where(left > 0, (hashes ^ tail) * factor, hashes)
+        hashes = (hashes ^ hashes >> tail_shifts[0]) * factor
+        return pd.Series((hashes ^ hashes >> tail_shifts[1]).view(np.int32))
+
+    return hash_batch
 
 
 def murmur2(key: Column) -> Column:
@@ -45,7 +51,7 @@ def murmur2(key: Column) -> Column:
     Spark has no 32-bit overflow arithmetic on bytes: a JVM expression for this folds arrays
     in interpreted code and takes three times as long as Arrow batches do.
     """
-    return F.pandas_udf(_hash_batch, "int")(key)
+    return F.pandas_udf(_hasher(), "int")(key)
 
 
 def key_partition(key: Column, partitions: int) -> Column:

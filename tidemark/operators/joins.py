@@ -34,7 +34,7 @@ def template_records(templates: DataFrame, keys: list[str], payload: str = "valu
     parsed = templates.select(*keys, F.from_json(payload, TEMPLATE).alias("t"))
     named = F.filter(F.coalesce("t.assets", F.array().cast("array<string>")), lambda a: F.coalesce(a, F.lit("")) != "")
     pairs = F.filter(
-        F.transform("t.modelAndPoints", lambda m: F.split(m["inputPoint"], "::")),
+        F.transform("t.modelAndPoints", lambda m: F.split(F.regexp_replace(m["inputPoint"], "(::)+$", ""), "::")),
         lambda p: (F.size(p) == 2) & (p[1] != ""))
     return (
         parsed.select(
@@ -48,19 +48,16 @@ def template_records(templates: DataFrame, keys: list[str], payload: str = "valu
     )
 
 
-def sample_payloads(rows: DataFrame, number: str, sample: DataFrame, sample_order: str, seed: int,
-                    broadcast_rows: int = 100_000) -> DataFrame:
+def sample_payloads(rows: DataFrame, number: str, sample: DataFrame, sample_order: str, seed: int) -> DataFrame:
     """Give every row one row of the sample, drawn by a seeded mix of ``number``.
 
-    The sample is counted first: only a small one is broadcast, a large one is joined by shuffle.
+    The count of the sample bounds the draw; sizes seen at run time choose the join.
     """
     size = sample.count()
     if size == 0:
         raise ValueError("the sample is empty")
     numbered = dense_index(sample.withColumn("__all", F.lit(0)), ["__all"], sample_order,
                            id_chunk(sample_order), "sample_index").drop("__all")
-    if size <= broadcast_rows:
-        numbered = F.broadcast(numbered)
     drawn = rows.withColumn("sample_index", draw(F.col(number), seed, size).cast("long"))
     return drawn.join(numbered, "sample_index")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.plans.ordering import CHUNK_ROWS, id_chunk, next_non_null
+from tidemark.plans.ordering import CHUNK_ROWS, dense_index, id_chunk, next_non_null
 from tidemark.sources.log import TP
 
 # Control texts that end a transaction, version of the saved offset text.
@@ -39,7 +39,7 @@ def reset_to_committed(bounds: DataFrame, committed: DataFrame) -> DataFrame:
 
 
 def consumer_lag(ends: DataFrame, positions: DataFrame, read_committed: bool = False) -> DataFrame:
-    """End minus position per partition, with the greatest and mean lag of the topic.
+    """End minus position per partition, with the greatest and mean lag of its topic.
 
     ``ends`` has ``high_watermark`` and, for read-committed, ``last_stable``; a null end gives a null lag.
     """
@@ -82,10 +82,10 @@ def load_offsets(saved: DataFrame, partitions: int) -> DataFrame:
 def replay_when_past(ranges: DataFrame, begins: DataFrame, limit: int, restart: int | None = None) -> DataFrame:
     """Next positions: ``until``, or all back to the beginning once any ``until`` is above ``limit``.
 
-    ``restart`` is an explicit offset to go back to instead. One row per partition, so the
-    topic window stays small.
+    ``restart`` is an explicit offset to go back to instead. The whole subscription goes back together, all topics;
+    the plan has one row per partition, so its window stays small.
     """
-    past = F.max(F.col("until") > limit).over(Window.partitionBy("topic"))
+    past = F.max(F.col("until") > limit).over(Window.partitionBy(F.lit(0)))
     back = F.col("begin") if restart is None else F.lit(restart).cast("long")
     return (
         ranges.select(*TP, "until").join(begins.select(*TP, "begin"), TP)
@@ -94,7 +94,7 @@ def replay_when_past(ranges: DataFrame, begins: DataFrame, limit: int, restart:
 
 
 def range_count(ranges: DataFrame) -> DataFrame:
-    """Rows the ranges hold, without a scan (right for logs without gaps), and whether there are none."""
+    """Rows the ranges of each topic hold, without a scan (right for logs without gaps), and whether there are none."""
     return ranges.groupBy("topic").agg(F.sum(F.col("until") - F.col("from")).alias("count")).withColumn(
         "empty", F.col("count") == 0)
 
@@ -127,19 +127,24 @@ def aborted_spans(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
         F.min("offset").alias("first_offset"))
 
 
-def commit_groups(log: DataFrame, poll_rows: int, commit_rows: int) -> DataFrame:
-    """Commit each row belongs to when polls of ``poll_rows`` fill a buffer of at least ``commit_rows``.
+def commit_groups(log: DataFrame, poll_rows: int, commit_rows: int, order: str | None = None,
+                  chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Commit each row belongs to when polls of ``poll_rows`` rows fill a buffer of at least ``commit_rows``.
 
-    A poll covers ``poll_rows`` offsets of a dense partition, so a commit takes a fixed
-    number of polls. Result: per partition and commit its rows, next offset and whether it was made;
-    a short tail stays uncommitted.
+    Rows count, not offsets, so gaps in a log do no harm. Each partition has its own buffer; with ``order`` (a unique,
+    non-negative integer in the order of consumption) one buffer serves the whole consumer. Result: per partition
+    and commit its rows, next offset and whether it was made; a short tail stays uncommitted.
     """
-    polls = -(-commit_rows // poll_rows)
-    return (
-        log.groupBy(*TP, F.expr(f"offset div {poll_rows * polls}").alias("commit_no"))
-        .agg(F.count(F.lit(1)).alias("rows"), (F.max("offset") + 1).alias("next_offset"))
-        .withColumn("committed", F.col("rows") >= commit_rows)
-    )
+    step = poll_rows * -(-commit_rows // poll_rows)
+    keys = TP if order is None else ["__all"]
+    rows = log.select(*TP, "offset", *([order] if order and order != "offset" else []), F.lit(0).alias("__all"))
+    placed = dense_index(rows, keys, order or "offset", id_chunk(order or "offset", chunk_rows), "__row")
+    groups = (placed.groupBy(*TP, F.expr(f"__row div {step}").alias("commit_no"))
+              .agg(F.count(F.lit(1)).alias("rows"), (F.max("offset") + 1).alias("next_offset")))
+    if order is None:
+        return groups.withColumn("committed", F.col("rows") >= commit_rows)
+    whole = groups.groupBy("commit_no").agg((F.sum("rows") >= commit_rows).alias("committed"))
+    return groups.join(whole, "commit_no").select(*TP, "commit_no", "rows", "next_offset", "committed")
 
 
 def rate_plan(positions: DataFrame, latest: DataFrame, batch_ms: int, rate: float = 0, max_rate: int = 0) -> DataFrame:
@@ -149,7 +154,7 @@ def rate_plan(positions: DataFrame, latest: DataFrame, batch_ms: int, rate: floa
     """
     at = positions.select(*TP, F.col("offset").alias("from")).join(
         latest.select(*TP, F.col("end").alias("latest")), TP)
-    every = Window.partitionBy("topic")
+    every = Window.partitionBy(F.lit(0))  # one row per partition of the subscription
     lag = F.greatest(F.col("latest") - F.col("from"), F.lit(0))
     if rate > 0:
         # A share is computed on floats and rounded half up; no lag at all gives 0.

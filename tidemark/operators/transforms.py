@@ -27,6 +27,23 @@ def map_rows(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*[c.alias(n) for n, c in columns.items()])
 
 
+def map_values(df: DataFrame, fn: Callable[[pd.Series], pd.Series], column: str, name: str, kind: str,
+               keep: Sequence[str] = ()) -> DataFrame:
+    """A user function on the values of a column, a batch at a time."""
+    return df.select(*keep, F.pandas_udf(fn, kind)(column).alias(name))
+
+
+def filter_rows(df: DataFrame, fn: Callable[[pd.Series], pd.Series], column: str) -> DataFrame:
+    """Rows for whose value a user function says true."""
+    return df.where(F.pandas_udf(fn, "boolean")(column))
+
+
+def flat_map_values(df: DataFrame, fn: Callable[[pd.Series], pd.Series], column: str, name: str, kind: str,
+                    keep: Sequence[str] = ()) -> DataFrame:
+    """One row per item of the list that a user function gives for each value; ``kind`` is the item's type."""
+    return df.select(*keep, F.explode(F.pandas_udf(fn, f"array<{kind}>")(column)).alias(name))
+
+
 def flat_map_rows(df: DataFrame, items: Column, name: str, keep: Sequence[str] = ()) -> DataFrame:
     """One row out per item of an array expression."""
     return df.select(*keep, F.explode(items).alias(name))
@@ -39,19 +56,19 @@ def map_partitions(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterato
     return source.mapInPandas(fn, schema)
 
 
-def repartition_to(df: DataFrame, partitions: int) -> DataFrame:
-    """Exactly this many partitions: merged when above, reshuffled when below, as is when 0 or less."""
+def repartition_to(df: DataFrame, partitions: int, merge_only: bool = False) -> DataFrame:
+    """This many partitions, as is when 0 or less; no job runs while the plan is built.
+
+    ``merge_only`` is for a source known to have more: its partitions are merged without a shuffle.
+    """
     if partitions <= 0:
         return df
-    now = df.rdd.getNumPartitions()
-    if now == partitions:
-        return df
-    return df.coalesce(partitions) if now > partitions else df.repartition(partitions)
+    return df.coalesce(partitions) if merge_only else df.repartition(partitions)
 
 
 def chain(df: DataFrame, transforms: Iterable[Transform], partitions: int = 0) -> DataFrame:
-    """Registered transforms in order, each output brought to the wanted partition count."""
-    return reduce(lambda d, t: repartition_to(d.transform(t), partitions), transforms, df)
+    """Registered transforms in order; the last output is brought to the wanted partition count."""
+    return repartition_to(reduce(lambda d, t: d.transform(t), transforms, df), partitions)
 
 
 def intercepted(source: Callable[[], DataFrame], on_read: Iterable[Transform] = (),

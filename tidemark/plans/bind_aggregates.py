@@ -150,8 +150,11 @@ def _(spark, sf):
 
 
 @query("agg_partition_profile", f"""
-  WITH {RAW_LOG} SELECT "partition", count(*) AS rows, count(DISTINCT "key") AS points, 0::INT AS part,
-    array_to_string(list_sort(list(DISTINCT "key")), ',') AS ids FROM raw_log GROUP BY "partition" """)
+  WITH {RAW_LOG}, pairs AS (SELECT "partition", "key", count(*) AS n FROM raw_log GROUP BY ALL),
+  placed AS (SELECT *, (row_number() OVER (PARTITION BY "partition" ORDER BY "key") - 1) // {A.LIST_ROWS} AS part,
+             sum(n) OVER (PARTITION BY "partition") AS rows, count(*) OVER (PARTITION BY "partition") AS points FROM pairs)
+  SELECT "partition", rows::BIGINT AS rows, points, part::INT AS part, string_agg("key", ',' ORDER BY "key") AS ids
+  FROM placed GROUP BY "partition", rows, points, part""")
 def _(spark, sf):
     rows = V.sensor(spark, sf).withColumn("p", F.expr(f"cast(substring(pointId, 6) AS bigint) % {V.PARTITIONS}"))
     tagged = drop_fields(with_window_and_partition(rows, bucket_millis(F.col("time"), 300_000), F.col("p").cast("int")))
@@ -197,7 +200,9 @@ def _(spark, sf):
 
 
 @query("agg_adjacency", f"""
-  WITH {EDGES} SELECT src, 0::INT AS part, array_to_string(list_sort(list(DISTINCT dst)), ',') AS neighbours FROM edges GROUP BY 1""")
+  WITH {EDGES} SELECT src, part::INT AS part, string_agg(dst, ',' ORDER BY dst) AS neighbours FROM (
+    SELECT *, (row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // {A.LIST_ROWS} AS part FROM (SELECT DISTINCT src, dst FROM edges))
+  GROUP BY ALL""")
 def _(spark, sf):
     return A.adjacency(V.edges(spark, sf)).select("src", "part", F.array_join("neighbours", ",").alias("neighbours"))
 

@@ -34,7 +34,7 @@ def _(spark, sf):
 
 def task_lines(spark, sf):
     """One task-end line of an event log per order; the order's fields stand for the figures."""
-    orders = V.spread(V.table(spark, sf, "orders")).withColumnRenamed("o_orderpriority", "app")
+    orders = V.table(spark, sf, "orders").withColumnRenamed("o_orderpriority", "app")
     return once(orders, ["app"], F.expr("""to_json(named_struct(
           'Event', 'SparkListenerTaskEnd', 'Stage ID', cast(o_custkey % 50 AS int), 'Stage Attempt ID', if(o_orderkey % 97 = 0, -1, 0),
           'Task Type', CASE o_orderkey % 3 WHEN 0 THEN 'ResultTask' WHEN 1 THEN 'ShuffleMapTask' ELSE 'OtherTask' END,

@@ -88,9 +88,9 @@ def _(spark, sf):
 @query("log_range_count", f"""
   WITH {BOUNDS} SELECT topic, sum(e - e // 4)::BIGINT AS count, false AS empty FROM bounds GROUP BY 1""")
 def _(spark, sf):
-    # Counting by ranges needs a log without gaps.
-    bounds = P.begin_end_offsets(V.log(spark, sf))
-    ranges = bounds.select(*TP, F.expr("end div 4").alias("from"), F.col("end").alias("until"))
+    # Offsets of a log without gaps: the ends are the counts, and nothing has to be numbered.
+    ends = V.raw_log(spark, sf).groupBy(*TP).agg(F.count(F.lit(1)).alias("end"))
+    ranges = ends.select(*TP, F.expr("end div 4").alias("from"), F.col("end").alias("until"))
     return P.range_count(ranges)
 
 
@@ -127,10 +127,11 @@ def _(spark, sf):
 
 
 @query("log_commit_every_n", f"""
-  WITH {LOG} SELECT topic, "partition", "offset" // 200 AS commit_no, count(*) AS rows, max("offset") + 1 AS next_offset,
-    count(*) >= 200 AS committed FROM log GROUP BY ALL""")
+  WITH {RAW_LOG}, n AS (SELECT *, (row_number() OVER (PARTITION BY "partition" ORDER BY "offset") - 1) // 200 AS commit_no FROM raw_log)
+  SELECT topic, "partition", commit_no, count(*) AS rows, max("offset") + 1 AS next_offset, count(*) >= 200 AS committed
+  FROM n GROUP BY ALL""")
 def _(spark, sf):
-    return P.commit_groups(V.log(spark, sf), 50, 200)
+    return P.commit_groups(V.raw_log(spark, sf), 50, 200)  # a log with gaps
 
 
 @query("stream_rate_plan", f"""

@@ -71,11 +71,11 @@ def _(spark, sf):
 
 @query("src_inline_rows", """
   SELECT label, count(*) AS n FROM events
-  JOIN (VALUES ('click', 'browse'), ('view', 'browse'), ('purchase', 'buy'), ('signup', 'join')) m(event_type, label)
+  JOIN (VALUES ('click', 'browse'), ('view', 'browse'), ('purchase', 'buy'), ('signup', 'join'), ('error', 'fail')) m(event_type, label)
   USING (event_type) GROUP BY ALL""")
 def _(spark, sf):
     labels = files.inline_rows(spark, [("click", "browse"), ("view", "browse"), ("purchase", "buy"),
-                                       ("signup", "join")], "event_type string, label string")
+                                       ("signup", "join"), ("error", "fail")], "event_type string, label string")
     return V.table(spark, sf, "events").join(labels, "event_type").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 

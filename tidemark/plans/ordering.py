@@ -136,19 +136,20 @@ def trailing_mean(df: DataFrame, keys: Sequence[str], index: str, value: str, n_
 
 
 def list_parts(df: DataFrame, keys: Sequence[str], item: str, limit: int, out: str = "part") -> DataFrame:
-    """Part number that keeps each list of ``item`` per key near ``limit`` entries.
+    """Part number of each ``item`` in its key's order: the first ``limit`` items are part 0, the next ones part 1.
 
-    Only keys above the limit are looked up, so the joined side has at most
-    rows/limit rows; every other key stays in part 0. Items are spread by hash.
+    ``item`` is unique inside a key; keys may be null. Rows are cut by ranges of key and item, so a key of any size
+    is numbered by many tasks.
     """
     keys = list(keys)
-    large = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
-        .select(*keys, F.ceil(F.col("n") / F.lit(limit)).cast("int").alias("__parts"))
-    )
-    return (
-        df.join(large, keys, "left")
-        .withColumn(out, F.when(F.col("__parts").isNull(), F.lit(0))
-                    .otherwise(F.pmod(F.xxhash64(item), F.col("__parts").cast("long"))).cast("int"))
-        .drop("__parts")
-    )
+    ranged = range_chunks(df, [*keys, item])
+    totals = ranged.groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias("n"))
+    before = _prefix(totals, keys, ["n"]).select(
+        *[F.col(k).alias(f"__{k}") for k in keys], F.col(_CHUNK).alias("__at"), "__before_n")
+    same = F.col(_CHUNK) == F.col("__at")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    local = Window.partitionBy(*keys, _CHUNK).orderBy(item)
+    place = F.row_number().over(local) - 1 + F.col("__before_n")
+    return (ranged.join(before, same).withColumn(out, F.floor(place / F.lit(limit)).cast("int"))
+            .drop(_CHUNK, "__at", "__before_n", *[f"__{k}" for k in keys]))

@@ -11,24 +11,12 @@ from tidemark.session import use_utc
 
 PARTITIONS = 4
 
-# A scan of fewer splits (128 MB each by default) is small.
-SMALL_SPLITS = 64
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     use_utc(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share a small scan out when it has fewer splits than there are cores, as one file of one row group does.
-
-    For work that is heavy per row. Only a few splits are ever moved; a larger table is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, SMALL_SPLITS) else df
-
-
 def sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as typed sensor records."""
     return table(spark, sf_dir, "events").selectExpr(
@@ -81,7 +69,7 @@ _PAYLOAD = """
 def json_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log rows with binary JSON payloads, good and bad; offset is the event id."""
     return (
-        once(spread(raw_log(spark, sf_dir)).withColumnRenamed("num", "value").withColumn("t", F.unix_millis("timestamp")),
+        once(raw_log(spark, sf_dir).withColumnRenamed("num", "value").withColumn("t", F.unix_millis("timestamp")),
              ["topic", "partition", "offset", "timestamp", "key", "event_id"], F.expr(_PAYLOAD), "payload")
         .select("topic", "partition", "offset", "timestamp", F.encode("key", "UTF-8").alias("key"),
                 F.encode("payload", "UTF-8").alias("value"), "event_id")
@@ -90,13 +78,13 @@ def json_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per word of ``documents.text``."""
-    texts = spread(table(spark, sf_dir, "documents").select("text"))
+    texts = table(spark, sf_dir, "documents").select("text")
     return texts.select(F.explode(split_java(F.col("text"))).alias("word"))
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts and suppliers as nodes, one edge each way per line item (repeats stay)."""
-    items = spread(table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey"))
+    items = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey")
     return items.select(
         F.explode(F.array(
             F.struct(F.concat(F.lit("p"), "l_partkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst")),

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tidemark.streaming.runs import run_batches
 
 ROWS_PER_FILE = 5_000_000
+FILES_AT_LEAST = 4
 
 
 def prepare_batches(df: DataFrame, order: str, path: str, batches: int, top: int,
@@ -23,7 +24,7 @@ def prepare_batches(df: DataFrame, order: str, path: str, batches: int, top: int
     ``numbers`` picks the batches to write now.
     """
     span = -(-(top + 1) // batches)
-    files = max(1, -(-span // ROWS_PER_FILE))
+    files = max(FILES_AT_LEAST, -(-span // ROWS_PER_FILE))
     for number in numbers if numbers is not None else range(batches):
         part = df.where((F.col(order) >= number * span) & (F.col(order) < (number + 1) * span))
         (part.withColumn("batch_key", F.lit(number)).repartition(files)
@@ -49,6 +50,8 @@ def text_stream(spark: SparkSession, path: str, files_per_trigger: int | None =
 def each_batch_table(stream: DataFrame, work: Callable[[DataFrame], DataFrame], path: str) -> DataFrame:
     """Apply ``work`` inside each micro-batch only and keep the rows with their ``batch_id``."""
     spark = stream.sparkSession
+    # An empty part, so that a stream without a batch gives an empty table.
+    work(spark.createDataFrame([], stream.schema)).write.mode("overwrite").parquet(f"{path}/rows/batch_id=-1")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         work(batch).write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")

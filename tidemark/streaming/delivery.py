@@ -1,14 +1,17 @@
 """Rows and positions stored as one unit, so that each input counts once.
 
-A batch writes its rows into a folder of its own, then its ledger entry with the next
-offsets. Readers only see batches that the ledger names; a replay of an unfinished batch
-overwrites its folder, a replay of a finished one does nothing.
+A batch keeps only rows at or after the stored position of their partition, writes them into a fresh folder, and then
+a ledger entry that names the folder, with the first and next offset of every partition. Readers only see folders
+that the ledger names, so a failed attempt leaves nothing behind, and it does not matter whether a restarted query has
+its checkpoint, or cuts its batches as before. Offsets of a partition must arrive in order.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +21,7 @@ from tidemark.sources.log import TP
 
 
 # The schema is given, so a look at the ledger opens no file to find it out.
-LEDGER = "topic string, partition int, next_offset bigint, batch_id bigint"
+LEDGER = "topic string, partition int, first_offset bigint, next_offset bigint, folder string"
 
 
 def _ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -32,20 +35,26 @@ def _ledger(spark: SparkSession, path: str) -> DataFrame:
 
 def exactly_once_writer(path: str, work: Callable[[DataFrame], DataFrame] = lambda d: d,
                         before_commit: Callable[[int], None] = lambda batch_id: None) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function: ``work`` on the rows, rows out, then the ledger entry.
+    """A ``foreachBatch`` function: ``work`` on rows that are new, rows out, then the ledger entry.
 
     ``before_commit`` runs between the two writes; an error there leaves the batch unseen.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if not _ledger(spark, path).where(F.col("batch_id") == batch_id).isEmpty():
-            return
-        work(batch).write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
-        before_commit(batch_id)
-        nexts = batch.groupBy(*TP).agg((F.max("offset") + 1).alias("next_offset"))
-        # One row per partition: a single small file is the commit.
-        nexts.coalesce(1).write.mode("overwrite").parquet(f"{path}/ledger/batch_id={batch_id}")
+        fresh = unread(batch, stored_positions(spark, path)).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            folder = uuid.uuid4().hex
+            entry = fresh.groupBy(*TP).agg(F.min("offset").alias("first_offset"), (F.max("offset") + 1).alias("next_offset"))
+            entry = entry.withColumn("folder", F.lit(folder)).collect()  # one row per partition of the log
+            if not entry:
+                return
+            work(fresh).write.parquet(f"{path}/rows/folder={folder}")
+            before_commit(batch_id)
+            # A single small file is the commit.
+            spark.createDataFrame(entry, LEDGER).coalesce(1).write.mode("append").parquet(f"{path}/ledger")
+        finally:
+            fresh.unpersist()
 
     return write
 
@@ -74,9 +83,9 @@ def abort_every_other(path: str, work: Callable[[DataFrame], DataFrame] = lambda
 
 
 def delivered(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the batches in the ledger."""
-    done = _ledger(spark, path).select("batch_id").distinct()
-    return spark.read.parquet(f"{path}/rows").join(done, "batch_id", "left_semi")
+    """Rows of the folders in the ledger."""
+    done = _ledger(spark, path).select("folder").distinct()
+    return spark.read.parquet(f"{path}/rows").join(done, "folder", "left_semi").drop("folder")
 
 
 def stored_positions(spark: SparkSession, path: str) -> DataFrame:

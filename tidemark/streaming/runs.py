@@ -61,6 +61,7 @@ def complete_table(stream: DataFrame, label: str, order: str | None = None) -> D
     spark = stream.sparkSession
     path = scratch_path(spark, label)
     sorted_stream = stream.orderBy(order) if order else stream
+    spark.createDataFrame([], stream.schema).write.mode("overwrite").parquet(f"{path}/result")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/result")
