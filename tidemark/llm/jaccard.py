@@ -6,7 +6,8 @@ pair of the threshold's similarity stays together on 1 child on average, and unl
 ``SMALL`` sets are compared by brute force; ``RUNS`` independent runs reach the target recall. In a larger bucket all
 sets are first compared with one of them: those near it are linked to it and leave (any partner of theirs is near
 enough to be linked to it as well, by the triangle inequality), and the rest is split further. So a large group of
-near copies costs one comparison each.
+near copies costs one comparison each. Two sets linked to one pivot are gathered already, so a child bucket of such
+sets only is done.
 
 Estimated links only gather sets that may be similar. Inside each such gathering all pairs are checked exactly on their
 shingles, in blocks, and only sums and a spanning forest of links leave a task.
@@ -27,7 +28,7 @@ SHINGLE = 5  # words
 THRESHOLD = 0.8  # of the exact Jaccard similarity, as 4 / 5 in whole numbers below
 COORDINATES = 64
 TARGET = 0.99  # recall of a pair at the threshold whose buckets split up to four times
-SMALL = 128
+SMALL = 512
 # Estimates from minhashes: candidates from here on; near the pivot from there on. A partner of a near set is at a
 # distance of at most (1 - NEAR) + (1 - THRESHOLD) = 0.4 from the pivot, and 1 - CANDIDATE leaves room for chance.
 CANDIDATE, NEAR = 0.48, 0.8
@@ -235,26 +236,27 @@ def _compare_pivot(batches):
         like = (sig == _matrix(batch.column("pivot_sig"))).mean(axis=1)
         bucket = batch.column("bucket").to_numpy()
         stay = np.flatnonzero((like < NEAR) & (node != pivot))
-        rows = [(node[i], pivot[i], None) for i in np.flatnonzero((like >= CANDIDATE) & (node != pivot)).tolist()]
+        rows = [(node[i], pivot[i], None, None) for i in np.flatnonzero((like >= CANDIDATE) & (node != pivot)).tolist()]
         for on, child in children(bucket[stay], sig[stay]):
-            rows += [(n, None, c) for n, c in zip(node[stay[on]].tolist(), child.tolist(), strict=True)]
+            linked = (like[stay[on]] >= CANDIDATE).tolist()
+            rows += [(n, None, c, on_pivot) for n, c, on_pivot in zip(node[stay[on]].tolist(), child.tolist(), linked, strict=True)]
         if rows:
-            a, b, c = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b, c)], names=["node", "pivot", "bucket"])
+            a, b, c, d = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in (a, b, c)), pa.array(d, pa.bool_())],
+                                             names=["node", "pivot", "bucket", "linked"])
 
 
 def candidate_links(sets: DataFrame) -> DataFrame:
     """``a, b``: links that span every gathering of sets that may be similar. ``sets``: node (unique), sig."""
     spark = sets.sparkSession
-    rows = _root_paths(sets)
+    rows = _root_paths(sets).withColumn("linked", F.lit(False))
     links = []
-    level = 0
     while True:
-        level += 1
         # A path's bucket is used in one place only, so rows alone in theirs are done.
         rows = kept(rows, "paths")
-        sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("pivot")).where("size > 1")
-        rows = kept(rows.join(sizes, "bucket"), "buckets")
+        sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("pivot"),
+                                           F.bool_and("linked").alias("done")).where("size > 1 AND NOT done").drop("done")
+        rows = kept(rows.select("bucket", "node").join(sizes, "bucket"), "buckets")
         small = (rows.where(F.col("size") <= SMALL).join(sets.select("node", "sig"), "node").select("bucket", "node", "sig")
                  .repartition(shuffle_count(spark), "bucket").sortWithinPartitions("bucket", "node"))
         links.append(small.mapInArrow(_compare_small, "a bigint, b bigint"))
@@ -265,9 +267,9 @@ def candidate_links(sets: DataFrame) -> DataFrame:
             sets.select(F.col("node").alias("pivot"), F.col("sig").alias("pivot_sig")), "pivot")
         compared = kept(large.select("bucket", "node").join(sets.select("node", "sig"), "node").join(heads, "bucket")
                         .select("bucket", "node", "sig", "pivot", "pivot_sig")
-                        .mapInArrow(_compare_pivot, "node bigint, pivot bigint, bucket bigint"), "pivots")
+                        .mapInArrow(_compare_pivot, "node bigint, pivot bigint, bucket bigint, linked boolean"), "pivots")
         links.append(compared.where("pivot is not null").selectExpr("node AS a", "pivot AS b"))
-        rows = compared.where("bucket is not null").select("bucket", "node")
+        rows = compared.where("bucket is not null").select("bucket", "node", "linked")
     found = links[0]
     for more in links[1:]:
         found = found.unionAll(more)
