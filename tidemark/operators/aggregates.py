@@ -39,9 +39,11 @@ def labelled_sums(df: DataFrame, group: list[str], point: str, value: str) -> Da
     totals = pairs.groupBy(*group).agg(
         F.sum("__n").alias("count"), F.sum("__s").alias("sum"), F.count(F.lit(1)).alias("__points"))
     rank = F.row_number().over(Window.partitionBy(*group).orderBy(point))
+    # The sums stay in the rows, so that both branches read the same exchange of pairs.
     ids = (
-        pairs.select(*group, point).withColumn("__rank", rank).where(F.col("__rank") <= LABEL_LIMIT)
-        .groupBy(*group).agg(F.collect_list(point).alias("__ids"))
+        pairs.withColumn("__rank", rank).where(F.col("__rank") <= LABEL_LIMIT)
+        .groupBy(*group).agg(F.collect_list(F.struct(F.col(point).alias("id"), "__n", "__s")).alias("__five"))
+        .select(*group, F.transform("__five", lambda r: r["id"]).alias("__ids"))
     )
     return totals.join(ids, group).select(
         *group, "count", "sum", (F.col("sum") / F.col("count")).alias("avg"),
