@@ -25,10 +25,10 @@ SCHEMA = "part int, doc_id bigint, start_in_part bigint, n_tokens int, ids array
 # Fixed value: the word split of the byte-level vocabulary files.
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Pieces and words whose ids a worker remembers; the memory starts anew beyond them.
-REMEMBERED, REMEMBERED_WORDS = 2_000_000, 150_000
+REMEMBERED, REMEMBERED_WORDS = 1_000_000, 150_000
 LONG = 64
 # Bytes of text that are encoded together.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 
 def _encoder(text: str):
