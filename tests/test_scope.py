@@ -11,6 +11,8 @@ from __spark_entry__ import oracle_sql, queries
 from tests.compare import connect, difference
 from tests.test_streams import LOG
 from tidemark.operators import aggregates, joins, positions, transforms
+from tidemark.operators import monitor as M
+from tidemark.session import scratch, scratch_path
 from tidemark.streaming import batches as B
 from tidemark.streaming import delivery as D
 from tidemark.streaming import runs
@@ -102,6 +104,32 @@ def test_user_functions_and_filter(spark, rows):
         (1, "a"), (1, "b"), (2, "c")]
 
 
+def stage_event(stage, start, end):
+    return (f'{{"Event":"SparkListenerStageCompleted","Stage Info":{{"Stage ID":{stage},"Stage Attempt ID":0,"Number of Tasks":1,'
+            f'"Submission Time":{start},"Completion Time":{end}}}}}')
+
+
+def test_means_follow_completion_and_count_ended_jobs(spark):
+    lines = ['{"Event":"SparkListenerJobStart","Job ID":%d,"Submission Time":0}' % j for j in range(3)]
+    lines += ['{"Event":"SparkListenerJobEnd","Job ID":%d,"Completion Time":%d,"Job Result":{"Result":"%s"}}' % x
+              for x in ((0, 50, "JobFailed"), (1, 100, "JobSucceeded"), (2, 5000, "JobSucceeded"))]
+    lines += [stage_event(1, 0, 1000), stage_event(2, 0, 2000), stage_event(0, 0, 10_000), stage_event(5, 10, 60)]
+    events = M.parse_events(spark.createDataFrame([("a", x) for x in lines], "app string, value string"), ["app"])
+    means = {r.stage_id: (r.rate, r.mean_rate) for r in M.stage_rates(events, ["app"], 1000, 1.0, 5, 1).collect()}
+    assert means == {5: (20_000.0, 0.0), 1: (1000.0, 1000.0), 2: (500.0, 750.0), 0: (100.0, 533.333)}
+    jobs = {r.job_id: (r.rate, r.mean_rate) for r in M.job_rates(events, ["app"], 1000, 1.0, 5, 1).collect()}
+    assert jobs == {1: (10_000.0, 10_000.0), 2: (200.0, 5100.0)}
+
+
+def test_scratch_tables_go_with_their_block(spark):
+    with scratch(spark) as folder:
+        path = scratch_path(spark, "mine")
+        spark.range(3).write.parquet(path)
+        assert path.startswith(folder) and spark.read.parquet(path).count() == 3
+    assert not os.path.exists(folder.removeprefix("file:"))
+    assert not scratch_path(spark, "mine").startswith(folder)
+
+
 def test_building_a_chain_starts_no_job(spark):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("no-jobs", "building only")

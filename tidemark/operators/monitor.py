@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import half_up, once, rate_per_second
 from tidemark.operators.windows import moving_average
-from tidemark.plans.ordering import CHUNK_ROWS, id_chunk, running_sum, with_previous
+from tidemark.plans.ordering import CHUNK_ROWS, dense_index, id_chunk, running_sum, with_previous
 
 # Codes of task types, default sampling, bytes of a MiB, milliseconds per unit.
 TASK_TYPES = {"resulttask": 0, "shufflemaptask": 1}
@@ -152,38 +152,98 @@ def expected_load(config: DataFrame, batch_ms: str, rate: str, partitions: str,
     )
 
 
+# Time of one chunk of the completion order.
+COMPLETION_CHUNK_MS = 3_600_000
+
+
+def _means_after_warmup(rows: DataFrame, job_ends: DataFrame | None, keys: list[str], means: dict[str, str], n: int,
+                        warmup: int) -> DataFrame:
+    """Moving means in the order of completion, of rows by whose time more than ``warmup`` jobs have ended.
+
+    ``rows`` have ``at`` (completion, ms) and ``id`` (unique among equal times); ``job_ends`` have the keys, ``at`` and ``id``. Without
+    them the rows are job ends themselves, of which those without a value only count. ``means`` maps new columns to
+    values. Rows of the warm-up show 0.0 and enter no mean. A stage or task counts before a job that ends in the same ms.
+    """
+    values = [c for c in rows.columns if c not in (*keys, "at", "id")]
+    marked = rows.select(*keys, "at", "id", F.struct(*values).alias("row"), F.lit(0).alias("side"),
+                         F.lit(1 if job_ends is None else 0).alias("ended"))
+    if job_ends is not None:
+        marked = marked.unionByName(job_ends.select(*keys, "at", "id", F.lit(1).alias("side"), F.lit(1).alias("ended")),
+                                    allowMissingColumns=True)
+    marked = marked.withColumn("place", F.struct("at", "side", "id"))
+    chunk = F.expr(f"at div {COMPLETION_CHUNK_MS}")
+    counted = running_sum(marked, keys, "place", "ended", chunk, "jobs").where("row is not null").select(
+        *keys, "at", "place", "jobs", "row.*")
+    counted = counted.where(F.col(next(iter(means.values()))).isNotNull())
+    late = dense_index(counted.where(F.col("jobs") > warmup), keys, "place", chunk, "__n")
+    for name, value in means.items():
+        late = moving_average(late, keys, "__n", value, n, name)
+    early = counted.where(F.col("jobs") <= warmup).withColumns({name: F.lit(0.0) for name in means})
+    return late.drop("__n").unionByName(early).drop("at", "place", "jobs")
+
+
+def _job_ends(events: DataFrame, keys: list[str]) -> DataFrame:
+    """Jobs that were seen to start and to end, whatever their result."""
+    starts = events.where(F.col("Event") == "SparkListenerJobStart").select(
+        *keys, F.col("Job ID").cast("long").alias("id"), F.col("Submission Time").alias("started"))
+    ends = events.where(F.col("Event") == "SparkListenerJobEnd").select(
+        *keys, F.col("Job ID").cast("long").alias("id"), F.col("Completion Time").alias("at"),
+        F.col("Job Result")["Result"].alias("result"))
+    return starts.join(ends, [*keys, "id"])
+
+
+def _mib_rate(mib: float) -> Column:
+    return half_up(F.lit(mib) / (F.col("duration") / F.lit(1000.0)), 2)
+
+
+def task_rates(events: DataFrame, keys: list[str], task_records: int, task_mib: float, n: int, warmup: int) -> DataFrame:
+    """Records/s and MiB/s of each ended task from its duration, with their moving means in the order of ending."""
+    info = F.col("Task Info")
+    tasks = (
+        _task_ends(events)
+        .select(*keys, F.col("Stage ID").alias("stage_id"), F.col("Stage Attempt ID").alias("attempt"), info["Index"].alias("index"),
+                info["Attempt"].alias("task_attempt"), info["Finish Time"].alias("at"),
+                (info["Finish Time"] - info["Launch Time"]).alias("duration"))
+        .where(F.col("duration") > 0)
+        .withColumn("id", F.struct("stage_id", "attempt", "index", "task_attempt"))
+        .withColumn("rate", rate_per_second(F.lit(task_records).cast("long"), F.col("duration")))
+        .withColumn("mib_rate", _mib_rate(task_mib))
+    )
+    ends = _job_ends(events, keys).select(*keys, "at", F.struct(*[F.col("id").cast("int").alias(c) for c in (
+        "stage_id", "attempt", "index", "task_attempt")]).alias("id"))
+    return _means_after_warmup(tasks, ends, keys, {"mean_rate": "rate", "mean_mib_rate": "mib_rate"}, n, warmup)
+
+
 def stage_rates(events: DataFrame, keys: list[str], task_records: int, stage_mib: float, n: int,
                 warmup: int) -> DataFrame:
-    """Records/s and MiB/s of each completed stage from its duration, with the moving mean after warm-up."""
+    """Records/s and MiB/s of each completed stage from its duration, with the moving mean in the order of completion.
+
+    The mean starts once more than ``warmup`` jobs have ended, failed ones too.
+    """
     info = F.col("Stage Info")
     stages = (
         events.where((F.col("Event") == "SparkListenerStageCompleted") & (info["Stage Attempt ID"] != -1))
         .select(*keys, info["Stage ID"].alias("stage_id"), info["Stage Attempt ID"].alias("attempt"),
-                info["Number of Tasks"].alias("tasks"),
+                info["Number of Tasks"].alias("tasks"), info["Completion Time"].alias("at"),
                 (info["Completion Time"] - info["Submission Time"]).alias("duration"))
         .where(F.col("duration") > 0)
-        .withColumn("order", F.col("stage_id").cast("long") * 1000 + F.col("attempt"))
+        .withColumn("id", F.col("stage_id").cast("long") * 1000 + F.col("attempt"))
         .withColumn("rate", rate_per_second(F.col("tasks").cast("long") * task_records, F.col("duration")))
-        .withColumn("mib_rate", half_up(F.lit(stage_mib) / (F.col("duration") / F.lit(1000.0)), 2))
+        .withColumn("mib_rate", _mib_rate(stage_mib))
     )
-    return moving_average(stages, keys, "order", "rate", n, "mean_rate", warmup).drop("order")
+    return _means_after_warmup(stages, _job_ends(events, keys), keys, {"mean_rate": "rate"}, n, warmup)
 
 
 def job_rates(events: DataFrame, keys: list[str], stage_records: int, stage_mib: float, n: int,
               warmup: int) -> DataFrame:
-    """The same for successful jobs, from job start to job end."""
-    starts = events.where(F.col("Event") == "SparkListenerJobStart").select(
-        *keys, F.col("Job ID").alias("job_id"), F.col("Submission Time").alias("started"))
-    ends = events.where((F.col("Event") == "SparkListenerJobEnd") & (F.col("Job Result")["Result"] == "JobSucceeded")
-                        ).select(*keys, F.col("Job ID").alias("job_id"), F.col("Completion Time").alias("ended"))
+    """The same for successful jobs, from job start to job end; a job's own end counts for the warm-up."""
+    usable = (F.col("result") == "JobSucceeded") & (F.col("duration") > 0)
     jobs = (
-        starts.join(ends, [*keys, "job_id"]).withColumn("duration", F.col("ended") - F.col("started"))
-        .where(F.col("duration") > 0)
-        .withColumn("order", F.col("job_id").cast("long"))
-        .withColumn("rate", rate_per_second(F.lit(stage_records).cast("long"), F.col("duration")))
-        .withColumn("mib_rate", half_up(F.lit(stage_mib) / (F.col("duration") / F.lit(1000.0)), 2))
+        _job_ends(events, keys).withColumn("duration", F.col("at") - F.col("started")).withColumn("job_id", F.col("id"))
+        .withColumn("rate", F.when(usable, rate_per_second(F.lit(stage_records).cast("long"), F.col("duration"))))
+        .withColumn("mib_rate", F.when(usable, _mib_rate(stage_mib)))
     )
-    return moving_average(jobs, keys, "order", "rate", n, "mean_rate", warmup).drop("order", "started", "ended")
+    return _means_after_warmup(jobs.drop("started", "result"), None, keys, {"mean_rate": "rate"}, n, warmup)
 
 
 def batch_metrics(batches: DataFrame, expected_mib: float) -> DataFrame:

@@ -87,9 +87,15 @@ def _(spark, sf):
     return M.task_failures(M.parse_events(task_lines(spark, sf), ["app"]), ["app"])
 
 
+JOB_START = "(cast(c_custkey AS bigint) * 7919 % 100003 * 1000)"
+
+
 def stage_job_lines(spark, sf):
-    """Per customer one completed stage, one job start and one job end; the segment is the application."""
-    t = "c_custkey * 1000"
+    """Per customer one completed stage, one job start and one job end; the segment is the application.
+
+    Times do not follow the ids.
+    """
+    t = JOB_START
     return V.table(spark, sf, "customer").select(F.col("c_mktsegment").alias("app"), F.explode(F.array(*map(F.expr, [
         f"""to_json(named_struct('Event', 'SparkListenerStageCompleted', 'Stage Info', named_struct('Stage ID', cast(c_custkey AS int),
              'Stage Attempt ID', 0, 'Number of Tasks', c_nationkey + 1, 'Submission Time', {t}, 'Completion Time', {t} + c_custkey * 37 % 900)))""",
@@ -99,21 +105,26 @@ def stage_job_lines(spark, sf):
     ]))).alias("value"))
 
 
-_MEAN5 = mean3_sql('rate', 'PARTITION BY app ORDER BY number ROWS 5 PRECEDING')
+_MEAN5 = mean3_sql('rate', 'PARTITION BY app ORDER BY "at", number ROWS 5 PRECEDING')
+_START = JOB_START.replace("cast(c_custkey AS bigint)", "c_custkey::BIGINT")
+
+
+def _kind_sql(name: str, duration: str, records: str, usable: str, jobs: str) -> str:
+    return f"""{name}0 AS (SELECT c_mktsegment AS app, '{name}' AS kind, c_custkey::BIGINT AS number, {_START} + {duration} AS "at",
+        ({duration})::BIGINT AS duration, {half_up_sql(f'({records}) * 1000.0 / nullif({duration}, 0)', 2)} AS rate,
+        {half_up_sql(f'2.5 / (nullif({duration}, 0) / 1000.0)', 2)} AS mib_rate, {usable} AND ({duration}) > 0 AS usable FROM customer),
+    {name}1 AS (SELECT *, {jobs} AS jobs FROM {name}0 x),
+    {name} AS (SELECT * EXCLUDE (jobs, "at", usable), {_MEAN5} AS mean_rate FROM {name}1 WHERE usable AND jobs > 10
+               UNION ALL SELECT * EXCLUDE (jobs, "at", usable), 0.0 FROM {name}1 WHERE usable AND jobs <= 10)"""
 
 
-def _kind_sql(name: str, number: str, duration: str, records: str, where: str) -> str:
-    return f"""{name}0 AS (SELECT c_mktsegment AS app, '{name}' AS kind, {number} AS number, {duration} AS duration,
-        {half_up_sql(f'({records}) * 1000.0 / ({duration})', 2)} AS rate, {half_up_sql(f'2.5 / (({duration}) / 1000.0)', 2)} AS mib_rate
-      FROM customer WHERE ({duration}) > 0 AND {where}),
-    {name}1 AS (SELECT *, row_number() OVER (PARTITION BY app ORDER BY number) - 1 AS i FROM {name}0),
-    {name} AS (SELECT * EXCLUDE i, {_MEAN5} AS mean_rate FROM {name}1 WHERE i >= 10
-               UNION ALL SELECT * EXCLUDE i, 0.0 FROM {name}1 WHERE i < 10)"""
+_JOBS_BEFORE = """(SELECT count(*) FROM job0 j WHERE j.app = x.app AND j."at" < x."at")"""
 
 
 @query("mon_stage_job_rates", f"""
-  WITH {_kind_sql('stage', 'c_custkey', 'c_custkey * 37 % 900', '5000 * (c_nationkey + 1)', 'true')},
-       {_kind_sql('job', 'c_custkey', 'c_custkey * 53 % 800', '80000', 'c_custkey % 7 <> 0')}
+  WITH {_kind_sql('job', 'c_custkey * 53 % 800', '80000', 'c_custkey % 7 <> 0',
+                  'row_number() OVER (PARTITION BY app ORDER BY "at", number)')},
+       {_kind_sql('stage', 'c_custkey * 37 % 900', '5000 * (c_nationkey + 1)', 'true', _JOBS_BEFORE)}
   SELECT * FROM stage UNION ALL SELECT * FROM job""")
 def _(spark, sf):
     events = M.parse_events(stage_job_lines(spark, sf), ["app"])

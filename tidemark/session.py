@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+# Folders of the scratch scopes that are open, the innermost last.
+_SCOPES: list[str] = []
+
 
 def build_session(app: str = "tidemark", cores: int | str = "*", shuffle_partitions: int | None = None,
                   **conf: str) -> SparkSession:
@@ -42,7 +48,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="tidemark-")
     if not spark.sparkContext.getCheckpointDir():
@@ -51,5 +57,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, or below that of the innermost ``scratch`` block."""
+    base = _SCOPES[-1] if _SCOPES else f"{shared_dir(spark)}/tidemark"
+    return f"{base}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A block that owns the scratch tables made inside it: they are deleted when it ends.
+
+    Results that are read lazily from them have to be written or collected before. Checkpoints are Spark's own; with
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` it deletes them once nothing refers to them.
+    """
+    folder = f"{shared_dir(spark)}/tidemark/scope-{uuid.uuid4().hex}"
+    _SCOPES.append(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPES.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
