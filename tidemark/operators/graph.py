@@ -17,43 +17,40 @@ DAMPING = 0.85
 HUB_EDGES = 1_000_000
 
 
-def pagerank(edges: DataFrame, rounds: int = 10, checkpoint_every: int = 3, hub_edges: int = HUB_EDGES) -> DataFrame:
+def pagerank(edges: DataFrame, rounds: int = 10, checkpoint_every: int = 3, hub_edges: int = HUB_EDGES,
+             tasks: int | None = None) -> DataFrame:
     """Ranks (node, rank) after some rounds, not normalised.
 
     A node passes ``rank / out-degree`` along each distinct edge; only nodes that got a share
-    keep a rank. A hub's edges are spread over several salts, and its share is
+    keep a rank. A hub's edges are spread over several salts, and its rank is
     copied once per salt, so no join task holds more than about ``hub_edges`` of one node.
     """
     spark = edges.sparkSession
     shared_dir(spark)
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     unique = distinct_rows(edges.select("src", "dst")).persist(StorageLevel.MEMORY_AND_DISK)
     degrees = unique.groupBy("src").agg(F.count(F.lit(1)).alias("degree")).withColumn(
         "salts", F.ceil(F.col("degree") / F.lit(hub_edges)).cast("int"))
-    hubs = degrees.where(F.col("salts") > 1).select("src", "salts")
-    # Kept in the layout and order of the join below, so a round moves and sorts shares, not edges.
+    # Kept in the layout and order of the join below, with the degree, so a round moves and sorts ranks, not edges.
     # The task count is given, or run-time coalescing would undo the layout; the table is filled
     # before the rounds are planned, since only then its layout is known to the planner.
     links = (
-        unique.join(hubs, "src", "left")
-        .select("src", "dst", F.when(F.col("salts").isNull(), F.lit(0)).otherwise(
-            F.pmod(F.xxhash64("dst"), F.col("salts").cast("long"))).cast("int").alias("salt"))
+        inner_equi(unique, degrees, "src")
+        .select("src", "dst", "degree", F.pmod(F.xxhash64("dst"), F.col("salts").cast("long")).cast("int").alias("salt"))
         .repartition(tasks, "src", "salt").sortWithinPartitions("src", "salt").persist(StorageLevel.MEMORY_AND_DISK)
     )
-    degrees = degrees.checkpoint()
     links.count()
-    ranks = degrees.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
+    ranks = degrees.select(F.col("src").alias("node"), F.lit(1.0).alias("rank")).checkpoint()
+    # At most edges / hub_edges rows.
+    hubs = degrees.where(F.col("salts") > 1).select("src", "salts").checkpoint()
+    unique.unpersist()
     for done in range(1, rounds + 1):
-        shares = (
-            inner_equi(ranks.withColumnRenamed("node", "src"), degrees, "src")
-            .select("src", (F.col("rank") / F.col("degree")).alias("share"),
-                    F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-        )
-        received = inner_equi(links, shares, ["src", "salt"]).groupBy(F.col("dst").alias("node")).agg(
-            F.sum("share").alias("got"))
+        copies = F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))
+        sent = ranks.withColumnRenamed("node", "src").join(hubs, "src", "left").select("src", "rank", copies.alias("salt"))
+        received = inner_equi(links, sent, ["src", "salt"]).groupBy(F.col("dst").alias("node")).agg(
+            F.sum(F.col("rank") / F.col("degree")).alias("got"))
         ranks = received.select("node", (F.lit(BASE) + F.lit(DAMPING) * F.col("got")).alias("rank"))
         if done % checkpoint_every == 0 or done == rounds:
             ranks = ranks.checkpoint()
     links.unpersist()
-    unique.unpersist()
     return ranks
