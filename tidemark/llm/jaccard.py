@@ -15,6 +15,8 @@ shingles, in blocks, and only sums and a spanning forest of links leave a task.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -250,30 +252,27 @@ def candidate_links(sets: DataFrame) -> DataFrame:
     """``a, b``: links that span every gathering of sets that may be similar. ``sets``: node (unique), sig."""
     spark = sets.sparkSession
     rows = _root_paths(sets).withColumn("linked", F.lit(False))
-    links = []
+    links, small = [], []
     while True:
         # A path's bucket is used in one place only, so rows alone in theirs are done.
         rows = kept(rows, "paths")
         sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("pivot"),
                                            F.bool_and("linked").alias("done")).where("size > 1 AND NOT done").drop("done")
         rows = kept(rows.select("bucket", "node").join(sizes, "bucket"), "buckets")
-        small = (rows.where(F.col("size") <= SMALL).join(sets.select("node", "sig"), "node").select("bucket", "node", "sig")
-                 .repartition(shuffle_count(spark), "bucket").sortWithinPartitions("bucket", "node"))
-        links.append(small.mapInArrow(_compare_small, "a bigint, b bigint"))
+        small.append(rows.where(F.col("size") <= SMALL).select("bucket", "node"))
         large = rows.where(F.col("size") > SMALL)
         if large.isEmpty():
             break
-        heads = large.select("bucket", "pivot").distinct().join(
-            sets.select(F.col("node").alias("pivot"), F.col("sig").alias("pivot_sig")), "pivot")
-        compared = kept(large.select("bucket", "node").join(sets.select("node", "sig"), "node").join(heads, "bucket")
+        signed = large.select("bucket", "node", "pivot").join(sets.select("node", "sig"), "node")
+        heads = signed.where("node = pivot").select("bucket", F.col("sig").alias("pivot_sig"))
+        compared = kept(signed.join(heads, "bucket")
                         .select("bucket", "node", "sig", "pivot", "pivot_sig")
                         .mapInArrow(_compare_pivot, "node bigint, pivot bigint, bucket bigint, linked boolean"), "pivots")
         links.append(compared.where("pivot is not null").selectExpr("node AS a", "pivot AS b"))
         rows = compared.where("bucket is not null").select("bucket", "node", "linked")
-    found = links[0]
-    for more in links[1:]:
-        found = found.unionAll(more)
-    return found
+    rows = reduce(DataFrame.unionAll, small).join(sets.select("node", "sig"), "node").select("bucket", "node", "sig")
+    rows = rows.repartition(shuffle_count(spark), "bucket").sortWithinPartitions("bucket", "node")
+    return reduce(DataFrame.unionAll, links, rows.mapInArrow(_compare_small, "a bigint, b bigint"))
 
 
 def _exact(batches):
