@@ -30,10 +30,10 @@ SHINGLE = 5  # words
 THRESHOLD = 0.8  # of the exact Jaccard similarity, as 4 / 5 in whole numbers below
 COORDINATES = 64
 TARGET = 0.99  # recall of a pair at the threshold whose buckets split up to four times
-SMALL = 512
+SMALL = 1024
 # Estimates from minhashes: candidates from here on; near the pivot from there on. A partner of a near set is at a
-# distance of at most (1 - NEAR) + (1 - THRESHOLD) = 0.4 from the pivot, and 1 - CANDIDATE leaves room for chance.
-CANDIDATE, NEAR = 0.48, 0.8
+# distance of at most (1 - NEAR) + (1 - THRESHOLD) = 0.5 from the pivot, and 1 - CANDIDATE leaves room for chance.
+CANDIDATE, NEAR = 0.4, 0.7
 # Shingles and sets of one block of the exact check, on average.
 BLOCK_SHINGLES, BLOCK_SETS = 1 << 20, 2048
 
