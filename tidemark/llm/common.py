@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 from collections.abc import Callable, Iterable, Iterator
 
@@ -44,6 +45,16 @@ def kept(df: DataFrame, label: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files of finished steps now.
+
+    It does so once the driver's garbage collector has found the step's plan unused, which may be long after; between
+    the steps of a long operator that would pile up on the executors' disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def crc_of_id(column: str = "doc_id") -> Column:
     """crc32 of an integer id as decimal text; null ids count as 0."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(0))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import kept
+from tidemark.llm.common import kept, release
 
 
 def components(links: DataFrame, label: str = "components") -> DataFrame:
@@ -16,6 +16,7 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
     """
     held = kept(links.selectExpr("greatest(a, b) AS a", "least(a, b) AS b").where("a <> b").distinct(), label)
     while not _are_stars(held):
+        release(held.sparkSession)
         # Large star: every larger neighbour moves to the smallest neighbour.
         both = held.unionAll(held.selectExpr("b AS a", "a AS b"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Characters, Lazy, Words, in_blocks, kept, mix, shuffle_count, ship, small_batches, text_codes, \
+from tidemark.llm.common import Characters, Lazy, Words, in_blocks, kept, mix, release, shuffle_count, ship, small_batches, text_codes, \
     text_udf
 from tidemark.llm.components import components
 
@@ -270,6 +270,8 @@ def candidate_links(sets: DataFrame) -> DataFrame:
                         .mapInArrow(_compare_pivot, "node bigint, pivot bigint, bucket bigint, linked boolean"), "pivots")
         links.append(compared.where("pivot is not null").selectExpr("node AS a", "pivot AS b"))
         rows = compared.where("bucket is not null").select("bucket", "node", "linked")
+        del sizes, large, signed, heads, compared
+        release(spark)
     rows = reduce(DataFrame.unionAll, small).join(sets.select("node", "sig"), "node").select("bucket", "node", "sig")
     rows = rows.repartition(shuffle_count(spark), "bucket").sortWithinPartitions("bucket", "node")
     return reduce(DataFrame.unionAll, links, rows.mapInArrow(_compare_small, "a bigint, b bigint"))
@@ -366,13 +368,17 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     some = sets.where("node is not null")
     reps = kept(some.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
                                          F.any_value("n").alias("n"), F.any_value("sig").alias("sig")), "representatives")
+    release(docs.sparkSession)
     gathered = components(candidate_links(reps.select("node", "sig")), "gatherings")
     wanted = kept(gathered.join(reps.select("node", "rep", "copies", "n"), "node"), "wanted")
+    release(docs.sparkSession)
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
              .join(wanted.hint("shuffle_merge"), F.col("doc_id").eqNullSafe(F.col("rep"))).select("root", "node", "copies", "text"))
     if _repeats(members):  # with other texts, maybe: a row counts only if its own set is the one that is asked for
         texts = kept(texts.withColumn("own", node_of(texts)).where("own = node").drop("own").dropDuplicates(["node"]), "texts")
     checked = kept(exact_links(_shingle_rows(texts), wanted), "links")
+    del texts
+    release(docs.sparkSession)
     sums = checked.groupBy("node").agg(F.sum("texts").alias("texts"), F.sum("docs").alias("docs"))
     roots = components(checked.selectExpr("node AS a", "head AS b"), "classes")
     info = (reps.select("node", "rep", "copies").join(roots, "node", "left").join(sums, "node", "left")
@@ -380,6 +386,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                     F.coalesce("texts", F.lit(0)).alias("n_text_links"),
                     (F.coalesce("docs", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     info = kept(info, "sets-info")
+    release(docs.sparkSession)
     heads = info.groupBy("root").agg(F.min_by(F.struct("rep", "node"), F.struct(F.col("rep").isNull(), "rep", "node")).alias("h"))
     return members, info.join(heads, "root").select("node", "rep", "copies", F.col("h.rep").alias("class_id"),
                                                     F.col("h.node").alias("class_node"), "n_text_links", "n_links")
