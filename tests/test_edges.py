@@ -120,6 +120,9 @@ def test_histograms(spark, rows):
     assert rows(A.histogram_quantile(bins, ["k"], 0.4, 4, 0.0, 10.0), "value") == [(0.0,)]
     assert rows(A.histogram_quantile(bins, ["k"], 0.99, 4, 0.0, 10.0), "value") == [(math.inf,)]
     assert rows(A.histogram_quantile(bins, ["k"], 0.1, 4, 0.0, 10.0), "value") == [(-math.inf,)]
+    bins = A.histogram(y.withColumn("k", F.lit(1)), ["k"], A.linear_bin(F.col("x"), 4, 6.0))
+    got = [rows(A.histogram_quantile(bins, ["k"], q, 4, 0.0, 6.0, linear=True), "value")[0][0] for q in (0.1, 0.4, 0.6, 0.9)]
+    assert got == [0.0, 1.0, 3.0, math.inf]
 
 
 def test_moving_average(spark, rows):

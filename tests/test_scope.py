@@ -121,6 +121,13 @@ def test_means_follow_completion_and_count_ended_jobs(spark):
     assert jobs == {1: (10_000.0, 10_000.0), 2: (200.0, 5100.0)}
 
 
+def test_lag_up_to_the_last_stable_offset(spark, rows):
+    ends = spark.createDataFrame([("t", 0, 10, 6), ("t", 1, 8, 8)], "topic string, partition int, high_watermark long, last_stable long")
+    at = spark.createDataFrame([("t", 0, 4), ("t", 1, 8), ("t", 2, 1)], "topic string, partition int, offset long")
+    assert rows(positions.consumer_lag(ends, at), "partition", "lag", "max_lag") == [(0, 6, 6), (1, 0, 6), (2, None, 6)]
+    assert rows(positions.consumer_lag(ends, at, True), "partition", "lag", "max_lag") == [(0, 2, 2), (1, 0, 2), (2, None, 2)]
+
+
 def test_scratch_tables_go_with_their_block(spark):
     with scratch(spark) as folder:
         path = scratch_path(spark, "mine")

@@ -236,9 +236,19 @@ def histogram(df: DataFrame, keys: list[str], bin_column: Column) -> DataFrame:
     return df.groupBy(*keys, bin_column.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
 
 
+def linear_bin_edge(number: Column, bins: int, high: float) -> Column:
+    """Lower edge of a bin whose width grows by the same amount from bin to bin; the last bin stands for infinity."""
+    unit = high / (bins * (bins - 1) // 2)
+    return F.when(number == bins - 1, F.lit(float("inf"))).otherwise(number * (number + 1) / F.lit(2.0) * F.lit(unit))
+
+
 def histogram_quantile(bins_table: DataFrame, keys: list[str], q: float, bins: int, low: float,
-                       high: float) -> DataFrame:
-    """Edge of the first bin whose cumulative share is above ``q``; keys have at most ``bins`` rows each."""
+                       high: float, linear: bool = False) -> DataFrame:
+    """Edge of the first bin whose cumulative share is above ``q``; keys have at most ``bins`` rows each.
+
+    ``linear`` is for bins of ``linear_bin``, which start at 0, so ``low`` does not count.
+    """
+    edge = linear_bin_edge(F.col("bin"), bins, high) if linear else constant_bin_edge(F.col("bin"), bins, low, high)
     upto = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     every = Window.partitionBy(*keys)
     shares = bins_table.select(*keys, "bin", (F.sum("count").over(upto) / F.sum("count").over(every)).alias("share"))
@@ -247,7 +257,7 @@ def histogram_quantile(bins_table: DataFrame, keys: list[str], q: float, bins: i
     return found.select(
         *keys,
         F.when(F.col("__any").isNull(), F.lit(float("nan")))
-        .otherwise(F.coalesce(constant_bin_edge(F.col("bin"), bins, low, high), F.lit(float("inf")))).alias("value"))
+        .otherwise(F.coalesce(edge, F.lit(float("inf")))).alias("value"))
 
 
 def retention_summary(log: DataFrame, keep: Column, group: list[str], payload: str = "value") -> DataFrame:
