@@ -82,6 +82,44 @@ def test_runs_reach_the_target_recall():
     assert jaccard.survival(1.0, 6) == 1.0 and jaccard.survival(0.3, 4) < 0.05
 
 
+def templates(count, pairs, seed):
+    """Texts of 24 lines, each one of two known ones, so that every bucket stays large for long; the last ``pairs`` of
+    them differ from the first ones in two lines."""
+    draw = random.Random(seed)
+    lines = [[" ".join(f"w{draw.randrange(10 ** 9)}" for _ in range(20)) for _ in range(2)] for _ in range(24)]
+    picks = [[draw.randrange(2) for _ in lines] for _ in range(count)]
+    for own in picks[:pairs]:
+        changed = draw.sample(range(24), 2)
+        picks.append([1 - p if i in changed else p for i, p in enumerate(own)])
+    return [" ".join(x[p] for x, p in zip(lines, own, strict=True)) for own in picks]
+
+
+def test_deep_paths_take_further_rounds(spark, monkeypatch):
+    """Rounds go on, on other minhashes, until all of them together reach the target at the depth of their paths."""
+    monkeypatch.setattr(jaccard, "SMALL", 4)
+    monkeypatch.setattr(jaccard, "CANDIDATE", 0.6)
+    split, rounds, seen = jaccard._round, [], []
+
+    def spied(sets, turn, runs, before):
+        seen.append({r.node: r.sig for r in sets.collect()})
+        links, deep, depth = split(sets, turn, runs, before)
+        rounds.append((runs, depth))
+        return links, deep, depth
+
+    monkeypatch.setattr(jaccard, "_round", spied)
+    docs = spark.createDataFrame(list(enumerate(templates(150, 50, 5))), "doc_id long, text string")
+    links = {r.doc_id: r.n_links for r in jaccard.join_documents(docs).collect()}
+    assert sum(links[i] > 0 for i in range(50)) >= jaccard.TARGET * 50
+    assert jaccard.missed(rounds[0][1], jaccard.RUNS) > 1 - jaccard.TARGET and len(rounds) > 1
+    assert np.prod([jaccard.missed(depth, runs) for runs, depth in rounds]) <= 1 - jaccard.TARGET
+    assert seen[1] and all(sig != seen[0][node] for node, sig in seen[1].items())
+
+
+def test_misses_of_a_round():
+    for depth, chance in ((4, 0.989), (8, 0.932), (12, 0.857)):
+        assert 1 - jaccard.missed(depth, jaccard.RUNS) == pytest.approx(chance, abs=1e-3)
+
+
 def test_join_edges(spark):
     long = " ".join(f"w{i}" for i in range(60_000))
     rows = [(1, None), (2, ""), (3, "!!"), (4, "one two"), (5, "One, two!"), (6, long), (7, long + " end"), (None, "a b c d e f"),

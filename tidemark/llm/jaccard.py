@@ -3,7 +3,9 @@
 Sets are split by the values they share. A node of the recursion picks one or two of the ``COORDINATES`` minhashes,
 1 / ``THRESHOLD`` on average, by a hash of the path and the run, and its sets go to one child for each value there. A
 pair of the threshold's similarity stays together on 1 child on average, and unlike sets part quickly. Buckets of up to
-``SMALL`` sets are compared by brute force; ``RUNS`` independent runs reach the target recall. In a larger bucket all
+``SMALL`` sets are compared by brute force. ``RUNS`` runs share the minhashes and reach the target recall of paths that
+end early; sets whose paths were split more often go through further rounds of runs, each on minhashes of its own, until
+the chance that all rounds miss a partner is small enough at the depth that their paths reached. In a larger bucket all
 sets are first compared with one of them: those near it are linked to it and leave (any partner of theirs is near
 enough to be linked to it as well, by the triangle inequality), and the rest is split further. So a large group of
 near copies costs one comparison each. Two sets linked to one pivot are gathered already, so a child bucket of such
@@ -15,7 +17,9 @@ shingles, in blocks, and only sums and a spanning forest of links leave a task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +33,7 @@ from tidemark.llm.components import components
 SHINGLE = 5  # words
 THRESHOLD = 0.8  # of the exact Jaccard similarity, as 4 / 5 in whole numbers below
 COORDINATES = 64
-TARGET = 0.99  # recall of a pair at the threshold whose buckets split up to four times
+TARGET = 0.99  # recall of a pair at the threshold
 SMALL = 1024
 # Estimates from minhashes: candidates from here on; near the pivot from there on. A partner of a near set is at a
 # distance of at most (1 - NEAR) + (1 - THRESHOLD) = 0.5 from the pivot, and 1 - CANDIDATE leaves room for chance.
@@ -52,11 +56,20 @@ def runs_needed(target: float = TARGET, depth: int = 4) -> int:
     return int(np.ceil(np.log(1 - target) / np.log(1 - survival(THRESHOLD, depth))))
 
 
-RUNS = runs_needed()
+RUNS = runs_needed()  # of one round
 
 
-def _seeds(count: int) -> tuple[np.ndarray, np.ndarray]:
-    draw = np.random.default_rng(11)
+def missed(depth: int, runs: int) -> float:
+    """Chance that ``runs`` runs on the same minhashes all part a pair at the threshold within ``depth`` splits.
+
+    The runs are independent only for a given number of minhashes that agree, so it is averaged over that number.
+    """
+    return sum(comb(COORDINATES, k) * THRESHOLD ** k * (1 - THRESHOLD) ** (COORDINATES - k)
+               * (1 - survival(k / COORDINATES, depth)) ** runs for k in range(COORDINATES + 1))
+
+
+def _seeds(count: int, turn: int) -> tuple[np.ndarray, np.ndarray]:
+    draw = np.random.default_rng(11 + turn)
     odd = draw.integers(0, 1 << 63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     return odd, draw.integers(0, 1 << 63, count, dtype=np.uint64)
 
@@ -68,9 +81,9 @@ def set_hash(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         return mix(sums[offsets[1:]] - sums[offsets[:-1]] + (offsets[1:] - offsets[:-1]).astype(np.uint64)).view(np.int64)
 
 
-def signatures(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Minhashes, one row a set; empty sets have zeros."""
-    odd, add = _seeds(COORDINATES)
+def signatures(values: np.ndarray, offsets: np.ndarray, turn: int = 0) -> np.ndarray:
+    """Minhashes of a round, one row a set; empty sets have zeros."""
+    odd, add = _seeds(COORDINATES, turn)
     out = np.zeros((len(offsets) - 1, COORDINATES), np.uint32)
     some = np.flatnonzero(offsets[1:] > offsets[:-1])
     if len(some):
@@ -96,8 +109,8 @@ def children(paths: np.ndarray, sets: np.ndarray) -> list[tuple[np.ndarray, np.n
         return out
 
 
-def sets_of(docs: DataFrame) -> DataFrame:
-    """``doc_id, node, n, sig``: set hash, number of distinct shingles and minhashes of every document.
+def sets_of(docs: DataFrame, turn: int = 0) -> DataFrame:
+    """``doc_id, node, n, sig``: set hash, number of distinct shingles and minhashes (of a round) of every document.
 
     ``node`` is null where a text has no word.
     """
@@ -108,7 +121,7 @@ def sets_of(docs: DataFrame) -> DataFrame:
         codes, starts = text_codes(block.column("text"))
         values, offsets = Words(codes, starts, held()).shingles(SHINGLE)
         n = np.diff(offsets)
-        sig = signatures(values, offsets)
+        sig = signatures(values, offsets, turn)
         return pa.RecordBatch.from_arrays(
             [block.column("doc_id").combine_chunks(), pa.array(set_hash(values, offsets), mask=n == 0), pa.array(n),
              pa.array([r.tobytes() for r in sig], pa.binary())], names=["doc_id", "node", "n", "sig"])
@@ -134,8 +147,9 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), -1)
 
 
-def _root_paths(sets: DataFrame) -> DataFrame:
-    """``bucket, node`` after the first split of every run."""
+def _root_paths(sets: DataFrame, turn: int, runs: int) -> DataFrame:
+    """``bucket, node`` after the first split of every run of a round."""
+    first = turn * RUNS
 
     def split(batches):
         for batch in batches:
@@ -143,7 +157,7 @@ def _root_paths(sets: DataFrame) -> DataFrame:
                 continue
             node, sig = batch.column("node").to_numpy(), _matrix(batch.column("sig"))
             paths, nodes = [], []
-            for run in range(RUNS):
+            for run in range(first, first + runs):
                 for on, child in children(np.full(len(node), run * 7919 + 1, np.int64), sig):
                     paths.append(child)
                     nodes.append(node[on])
@@ -248,14 +262,21 @@ def _compare_pivot(batches):
                                              names=["node", "pivot", "bucket", "linked"])
 
 
-def candidate_links(sets: DataFrame) -> DataFrame:
-    """``a, b``: links that span every gathering of sets that may be similar. ``sets``: node (unique), sig."""
+def _round(sets: DataFrame, turn: int, runs: int, before: float) -> tuple[DataFrame, list[DataFrame], int]:
+    """``a, b`` links of one round, tables of ``node, own`` for the depths whose paths may yet lose a pair, and the depth.
+
+    ``own`` is the chance that the round missed a pair at that depth; ``before`` is the largest chance that all earlier
+    rounds did.
+    """
     spark = sets.sparkSession
-    rows = _root_paths(sets).withColumn("linked", F.lit(False))
-    links, small = [], []
+    rows = _root_paths(sets, turn, runs).withColumn("linked", F.lit(False))
+    links, small, deep, depth = [], [], [], 1
     while True:
         # A path's bucket is used in one place only, so rows alone in theirs are done.
         rows = kept(rows, "paths")
+        own = missed(depth, runs)
+        if before * own > 1 - TARGET:
+            deep.append(kept(rows.select("node").distinct(), "deep").withColumn("own", F.lit(own)))
         sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("pivot"),
                                            F.bool_and("linked").alias("done")).where("size > 1 AND NOT done").drop("done")
         rows = kept(rows.select("bucket", "node").join(sizes, "bucket"), "buckets")
@@ -270,11 +291,42 @@ def candidate_links(sets: DataFrame) -> DataFrame:
                         .mapInArrow(_compare_pivot, "node bigint, pivot bigint, bucket bigint, linked boolean"), "pivots")
         links.append(compared.where("pivot is not null").selectExpr("node AS a", "pivot AS b"))
         rows = compared.where("bucket is not null").select("bucket", "node", "linked")
+        depth += 1
         del sizes, large, signed, heads, compared
         release(spark)
     rows = reduce(DataFrame.unionAll, small).join(sets.select("node", "sig"), "node").select("bucket", "node", "sig")
     rows = rows.repartition(shuffle_count(spark), "bucket").sortWithinPartitions("bucket", "node")
-    return reduce(DataFrame.unionAll, links, rows.mapInArrow(_compare_small, "a bigint, b bigint"))
+    return reduce(DataFrame.unionAll, links, rows.mapInArrow(_compare_small, "a bigint, b bigint")), deep, depth
+
+
+def candidate_links(sets: DataFrame, fresh: Callable[[int], DataFrame]) -> DataFrame:
+    """``a, b``: links that span every gathering of sets that may be similar. ``sets``: node (unique), sig.
+
+    ``fresh`` gives ``node, sig`` of all sets on the minhashes of a later round; a node may repeat there. Such a round
+    takes only the sets that are left: those for which the misses of all rounds so far, at the depth of their own
+    longest path in each, multiply to more than 1 - ``TARGET``. A pair is parted no later than where the paths of either
+    of its sets end, so it is safe as soon as one of them is.
+    """
+    found, left, before, runs, turn = [], None, 1.0, RUNS, 0
+    while True:
+        links, deep, depth = _round(sets, turn, runs, before)
+        if not deep:
+            return reduce(DataFrame.unionAll, found, links)
+        found.append(kept(links, "candidates"))
+        own = reduce(DataFrame.unionAll, deep).groupBy("node").agg(F.max("own").alias("own"))
+        own = own.withColumn("miss", F.col("own")) if left is None else (
+            own.join(left, "node").select("node", "own", (F.col("own") * F.col("miss")).alias("miss")))
+        left = kept(own.where(F.col("miss") > 1 - TARGET).select("node", "miss"), "left")
+        before = left.agg(F.max("miss").alias("m")).first().m
+        if before is None:
+            return reduce(DataFrame.unionAll, found)
+        turn += 1
+        # No more runs than the depth so far asks for.
+        runs = next((r for r in range(1, RUNS) if before * missed(depth, r) <= 1 - TARGET), RUNS)
+        del links, deep, own
+        release(sets.sparkSession)
+        some = fresh(turn).groupBy("node").agg(F.any_value("sig").alias("sig"))
+        sets = kept(some.join(left.select("node"), "node", "left_semi"), "sets")
 
 
 def _exact(batches):
@@ -369,7 +421,11 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     reps = kept(some.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
                                          F.any_value("n").alias("n"), F.any_value("sig").alias("sig")), "representatives")
     release(docs.sparkSession)
-    gathered = components(candidate_links(reps.select("node", "sig")), "gatherings")
+
+    def further(turn: int) -> DataFrame:
+        return sets_of(docs, turn).where("node is not null").select("node", "sig")
+
+    gathered = components(candidate_links(reps.select("node", "sig"), further), "gatherings")
     wanted = kept(gathered.join(reps.select("node", "rep", "copies", "n"), "node"), "wanted")
     release(docs.sparkSession)
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
