@@ -52,13 +52,6 @@ def survival(similarity: float, depth: int) -> float:
     return p
 
 
-def runs_needed(target: float = TARGET, depth: int = 4) -> int:
-    return int(np.ceil(np.log(1 - target) / np.log(1 - survival(THRESHOLD, depth))))
-
-
-RUNS = runs_needed()  # of one round
-
-
 def missed(depth: int, runs: int) -> float:
     """Chance that ``runs`` runs on the same minhashes all part a pair at the threshold within ``depth`` splits.
 
@@ -68,6 +61,13 @@ def missed(depth: int, runs: int) -> float:
                * (1 - survival(k / COORDINATES, depth)) ** runs for k in range(COORDINATES + 1))
 
 
+def runs_needed(target: float = TARGET, depth: int = 4) -> int:
+    return next(r for r in range(1, 1 << 10) if missed(depth, r) <= 1 - target)
+
+
+RUNS = runs_needed()  # of one round; deeper paths take further rounds
+
+
 def _seeds(count: int, turn: int) -> tuple[np.ndarray, np.ndarray]:
     draw = np.random.default_rng(11 + turn)
     odd = draw.integers(0, 1 << 63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
