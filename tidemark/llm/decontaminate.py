@@ -196,7 +196,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_colu
     for items in passage_blocks(benchmark, item_column, text_column):
         sent = spark.sparkContext.broadcast(vars(Passages(items)))  # bounded: BLOCK_CHARS
         found.append(text_udf(_searcher(sent, kind), HITS)(F.col(text).cast("string")))
-    return found[0] if len(found) == 1 else F.concat(*found)
+    if len(found) == 1:
+        return found[0]
+    # Texts of one item may be in several blocks: sorted by item and edits, the first of each item stays.
+    return F.aggregate(F.array_sort(F.concat(*found)), F.array().cast(HITS), lambda a, x: F.when(
+        (F.size(a) > 0) & (F.try_element_at(a, F.lit(-1)).item_id == x.item_id), a).otherwise(F.concat(a, F.array(x))))
 
 
 def _searcher(sent, kind):
