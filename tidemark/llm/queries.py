@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, decontaminate, jaccard, language, packing, quality, secret_scan, tokens, toxicity, warc
+from tidemark.llm import ann, collocations, decontaminate, jaccard, language, packing, quality, secret_scan, tokens, toxicity, warc
 from tidemark.llm.common import table
 from tidemark.session import scratch_path
 
@@ -104,3 +104,37 @@ def op10_one_bit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     index, dimension = ann.build_index(table(spark, sf_dir, "embeddings"))
     return ann.search(index, dimension, index.where("vec_id % 20 = 0").select("vec_id", "vector")).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+@query
+def op13_stripe_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_stripe_collocations"] = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+grams AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, i, unnest([1, 2, 3, 4, 5]) AS k FROM starts) WHERE i + k - 1 <= len(w)),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+often AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f FROM counts WHERE f >= 100),
+inner_phrases AS (SELECT lang, phrase, max(f) AS f FROM (
+    SELECT lang, array_to_string(w[1:k - 1], ' ') AS phrase, f FROM often WHERE k > 2
+    UNION ALL SELECT lang, array_to_string(w[2:k], ' '), f FROM often WHERE k > 2) GROUP BY ALL),
+free AS (SELECT o.lang, o.phrase, o.w, o.k, o.f FROM often o LEFT JOIN inner_phrases i USING (lang, phrase)
+  WHERE o.k > 1 AND o.f > coalesce(i.f, 0)),
+cuts AS (SELECT lang, phrase, w, k, f, unnest(range(1, k)) AS cut FROM free),
+scores AS (SELECT c.lang, c.phrase, c.f AS a, c.cut, x.f AS l, y.f AS r, t.n,
+    (1000::HUGEINT * c.f * t.n) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts c JOIN often x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.cut], ' ')
+  JOIN often y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.cut + 1:c.k], ' ')
+  JOIN totals t ON t.lang = c.lang),
+least AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE rank <= 2000"""
