@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, collocations, decontaminate, jaccard, language, packing, quality, secret_scan, tokens, toxicity, warc
+from tidemark.llm import (ann, collocations, decontaminate, jaccard, language, lattice, packing, quality, secret_scan, tokens,
+                          toxicity, warc, whitening)
 from tidemark.llm.common import table
 from tidemark.session import scratch_path
 
@@ -106,6 +107,18 @@ def op10_one_bit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+@query
+def op11_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of every document under the lattice of pieces and words."""
+    return lattice.score_documents(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+@query
+def op12_jacobi_davidson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four leading components of every vector, whitened."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_stripe_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best phrases of every language."""
