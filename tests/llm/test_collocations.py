@@ -54,7 +54,7 @@ def test_equals_plain_count(spark, least, top):
 
 def test_hot_prefixes_small_bitmaps_and_steps(spark, monkeypatch):
     """Prefixes in parts, bits set by several phrases and merges in many steps change nothing."""
-    monkeypatch.setattr(collocations, "SHARES", 1 << 30)
+    monkeypatch.setattr(collocations, "SHARES", 1 << 16)
     monkeypatch.setattr(collocations, "BITS", 1 << 8)
     monkeypatch.setattr(collocations, "STEP", 50)
     monkeypatch.setattr(collocations, "SALTS", 3)

@@ -8,9 +8,9 @@ says whether a longer phrase takes the prefix in.
 
 Prefixes grow by one word a pass over the texts, and only frequent ones have stripes: what the last pass found frequent
 is sent to all tasks as a bitmap of ``BITS`` bits, whatever the corpus. A bit may be set by another phrase too, which
-costs some counting and changes no result, for counts come from the phrases themselves. The stripe of a prefix that
-holds more than a ``SHARES``-th of all words is cut into parts by the hash of the next word; there are at most
-``SHARES`` of those, so their list has a bound as well.
+costs some counting and changes no result, for counts come from the phrases themselves. A stripe is cut into parts by
+the hash of the next word, so that none stands for more than its share of all words, of which there are ``SHARES`` for
+each shuffle partition; fewer prefixes than shares can need that, so their list has a bound as well.
 """
 
 from __future__ import annotations
@@ -29,12 +29,14 @@ from tidemark.llm.wordblocks import byte_set, word_block, word_hashes
 LONGEST = 5  # words of a phrase
 LEAST = 100  # occurrences
 BITS = 1 << 26
-SHARES = 1 << 16
+SHARES = 4
 SALTS = 16
 
 SPACES = byte_set(" \t")
 ENDS = byte_set(".,;:!?\n\x0b\x0c\r")
 
+# Bytes of the texts that share stripes.
+BLOCK_BYTES = 8 << 20
 # Entries of stripes that are merged in one step.
 STEP = 1 << 18
 
@@ -192,15 +194,15 @@ def stripes(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> Data
     small_batches(spark)
     rows = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     partitions = shuffle_count(spark)
-    root_parts = 4 * partitions
+    shares = SHARES * partitions
     levels, words, bitmap, hot = [], 0, None, (np.zeros(0, np.uint64), np.zeros(0, np.int64))
     for size in range(longest):
         sent = spark.sparkContext.broadcast(bitmap)
 
         def cut(block, size=size, sent=sent, hot=hot):
-            return block_stripes(block, size, sent.value, hot, root_parts)
+            return block_stripes(block, size, sent.value, hot, shares)
 
-        made = rows.mapInArrow(in_blocks(cut, "text"), STRIPE)
+        made = rows.mapInArrow(in_blocks(cut, "text", BLOCK_BYTES), STRIPE)
         met = made.repartition(partitions, "lang", "prefix", "part").sortWithinPartitions("lang", "prefix", "part")
         level = kept(met.mapInArrow(lambda b: merge_stripes(b, least), MERGED), f"stripes-{size}")
         levels.append(level.withColumn("size", F.lit(size)))
@@ -210,9 +212,9 @@ def stripes(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> Data
         bitmap = _bitmap(entries)
         if bitmap is None:
             break
-        much = entries.where(F.col("counts") * F.lit(SHARES).cast("decimal(20,0)") > F.lit(words)).select("hashes", "counts").toArrow()
+        much = entries.where(F.col("counts") * shares > words).select("hashes", "counts").toArrow()
         order = np.argsort(much.column("hashes").to_numpy().view(np.uint64))
-        parts = np.minimum(-(-much.column("counts").to_numpy().astype(float) * SHARES // max(words, 1)), root_parts)
+        parts = -(-much.column("counts").to_numpy().astype(float) * shares // max(words, 1))
         hot = (much.column("hashes").to_numpy().view(np.uint64)[order], parts.astype(np.int64)[order])
     return reduce(DataFrame.unionByName, levels)
 
