@@ -268,6 +268,57 @@ def test_md5_and_typed_fields(spark, rows):
         (1, "/a[1]/b", "STRING", None), (1, "/c", "STRING", "x"), (2, "", "LONG", "7")]
 
 
+def _by_level(df, keys, payload):
+    """Typed fields level by level, from Spark's own view of the JSON."""
+    level = df.select(*keys, F.lit("").alias("path"), F.try_parse_json(payload).alias("node")).where("node is not null")
+    out = set()
+    while not level.isEmpty():
+        level = level.withColumn("type", typed.field_type(F.col("node")))
+        leaf = F.when(~F.col("type").isin("MAP", "LIST"), F.try_variant_get("node", "$", "string")).alias("value")
+        out |= {tuple(r) for r in level.select(*keys, "path", "type", leaf).collect()}
+        inner = level.where(F.col("type").isin("MAP", "LIST"))
+        children = df.sparkSession.tvf.variant_explode(F.col("node").outer())
+        step = F.when(F.col("type") == "MAP", F.concat("path", F.lit("/"), "key")).otherwise(
+            F.concat("path", F.lit("["), F.col("pos").cast("string"), F.lit("]")))
+        level = inner.lateralJoin(children).select(*keys, step.alias("path"), F.col("value").alias("node"))
+    return out
+
+
+def test_typed_fields_of_odd_texts(spark):
+    """Numbers of all lengths and notations, escapes, empty containers, depth, and texts that are no JSON."""
+    texts = ["1", "-0", "-0.0", "1.50", "100.00", "1e2", "1E-7", "12345678.25", "0.0001", "1e400", "9223372036854775807",
+             "9223372036854775808", "1" * 38, "1" * 39, "0." + "1" * 38, "1." + "2" * 40, "123456789.123e-5", "true", "null", '"x"', '""',
+             "[]", "{}", '{"":{"":[]}}', '{"a":[1,[2,[3.0,{"b":"c/[0]"}]],"\\u00e9\\n\\ud83d\\ude00"]}', ' [1, 2 ] ', "nope", "", "[1,",
+             '{"a":1,"a":2}', "NaN", "01", "[1] ", '{"d":"2024-01-01"}', None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    got = [tuple(r) for r in typed.typed_fields(df, ["id"], "t").collect()]
+    assert len(got) == len(set(got)) and set(got) == _by_level(df, ["id"], "t") and len({r[0] for r in got}) > 25
+    deep = spark.createDataFrame([(1, "[" * 300 + "7" + "]" * 300)], "id int, t string")
+    fields = typed.typed_fields(deep, ["id"], "t").collect()
+    assert len(fields) == 301 and max(fields, key=lambda r: len(r["path"]))["value"] == "7"
+
+
+def test_table_function_gets_each_key_in_order(spark):
+    import pyarrow as pa
+
+    class Running:
+        def __init__(self):
+            self.total, self.key = 0, None
+
+        def eval(self, batch):
+            keys, values = batch.column("k").to_pylist(), batch.column("v").to_pylist()
+            sums = []
+            for v in values:
+                self.total += v
+                sums.append(self.total)
+            yield pa.table({"k": pa.array(keys, pa.int64()), "v": pa.array(values, pa.int64()), "sum": pa.array(sums, pa.int64())})
+
+    df = spark.range(300).selectExpr("id % 7 AS k", "300 - id AS v")
+    got = transforms.table_function(df, Running, "k bigint, v bigint, sum bigint", ["k"], ["v"])
+    want = df.selectExpr("k", "v", "sum(v) OVER (PARTITION BY k ORDER BY v) AS sum")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_draws_agree_with_program(spark):
     got = [r[0] for r in spark.range(50).select(draw(F.col("id"), 9, 26)).collect()]
     assert got == [draw_int(i, 9, 26) for i in range(50)] and len(set(got)) > 15

@@ -1,13 +1,18 @@
 """Streams: equal to the batch result, replays, faults, restarts."""
 
+import time
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import positions as P
 from tidemark.sources import log as L
 from tidemark.sources.jdbc import as_strings
 from tidemark.streaming import batches as B
+from tidemark.streaming import capture
 from tidemark.streaming import delivery as D
-from tidemark.streaming import runs
+from tidemark.streaming import ledger, runs, transactions
 from tidemark.streaming import windows as W
 
 LOG = "topic string, partition int, offset bigint, num double"
@@ -78,7 +83,7 @@ def test_fault_between_rows_and_ledger(spark, folder, rows):
         runs.run_batches(stream, write, f"{folder}/cp")
     # Rows of the third batch are staged but nobody sees them.
     assert D.delivered(spark, out).count() == 50
-    assert spark.read.parquet(f"{out}/rows").count() == 75
+    assert spark.read.option("recursiveFileLookup", True).parquet(f"{out}/rows").count() == 75
     failing.clear()
     runs.run_batches(stream, write, f"{folder}/cp")
     assert rows(D.delivered(spark, out), "offset") == sorted(((i,) for i in range(100)), key=lambda t: str(t[0]))
@@ -152,3 +157,142 @@ def test_log_sink_needs_a_checkpoint(spark, folder):
 
 def test_as_strings(spark):
     assert spark.range(1).transform(as_strings).dtypes == [("id", "string")]
+
+
+@pytest.mark.parametrize("build,batch", [
+    (lambda d: W.word_sliding(d, "5 seconds", "3 seconds", "20 seconds", True), lambda d: W.word_sliding(d, "5 seconds", "3 seconds")),
+    (lambda d: W.reduce_by_key_window(d, "word", "n", "6 seconds", "4 seconds", "20 seconds", True),
+     lambda d: W.reduce_by_key_window(d, "word", "n", "6 seconds", "4 seconds"))])
+def test_panes_drop_state_and_late_rows(spark, rows, tmp_path, build, batch):
+    """Windows of panes equal windows of rows; state stays small over many batches, and a row that comes too late is lost."""
+    def part(a, b):
+        return spark.range(a, b).selectExpr("cast(id % 3 AS string) AS word", "cast(id AS bigint) AS n",
+                                            "timestamp_millis(1700000000000 + id * 500) AS timestamp")
+    whole = part(0, 4000)
+    for i in range(8):
+        part(500 * i, 500 * i + 500).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    late = part(0, 40).coalesce(1)
+    source = spark.readStream.schema(whole.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    seen = []
+    with capture.captured(spark, f"{tmp_path}/progress") as listener:
+        held = listener.onQueryProgress
+        listener.onQueryProgress = lambda e: (seen.append(sum(s.numRowsTotal for s in e.progress.stateOperators)), held(e))
+        table = runs.closed_table(source, build, "timestamp", "panes", f"{tmp_path}/out")
+    got = table.where("word is not null")
+    assert rows(got) == rows(batch(whole), *got.columns) and len(seen) > 8
+    assert max(seen[1:]) < 600  # of about 6000 panes and windows; a batch of 250 s is open, and 20 s before it
+    assert max(seen[-1:]) < 20
+    # After the end everything is late.
+    late.write.mode("append").parquet(f"{tmp_path}/in")
+    runs.closed_table(source, build, "timestamp", "panes", f"{tmp_path}/out")
+    assert rows(spark.read.schema(table.schema).parquet(f"{tmp_path}/out/rows").where("word is not null"),
+                *got.columns) == rows(got)
+
+
+def test_nothing_delivered_yet(spark, folder):
+    assert D.delivered(spark, folder, LOG).columns == ["topic", "partition", "offset", "num"]
+    assert D.delivered(spark, folder).count() == D.stored_positions(spark, folder).count() == 0
+
+
+def test_ledger_is_compacted_and_survives_crashes(spark, folder, monkeypatch):
+    """Reads touch one snapshot and the commits after it; a crash before, within or after a switch changes nothing."""
+    monkeypatch.setattr(ledger, "SNAPSHOT_EVERY", 5)
+    book = ledger.Ledger(spark, f"{folder}/ledger")
+    names = lambda: sorted(f.name.lstrip("0") for f in (Path(folder) / "ledger").iterdir() if f.name[0] != ".")
+    for i in range(13):
+        book.commit(book.state(), [f"f{i}"], [("t", i % 2, i + 1)])
+    state = book.state()
+    assert (state.version, state.folders) == (13, [f"f{i}" for i in range(13)])
+    assert state.positions == {("t", 0): 13, ("t", 1): 12}
+    assert names() == ["10.snapshot", "11.commit", "12.commit", "13.commit"]
+    # Two writers from one state: the second one fails and leaves no trace.
+    book.commit(state, ["a"], [("t", 0, 20)])
+    with pytest.raises(Exception, match="(?i)exist"):
+        book.commit(state, ["b"], [("t", 0, 21)])
+    assert book.state().folders[-1] == "a" and len(list((Path(folder) / "ledger").glob(".*[!c]"))) <= 2
+    # A crash before the snapshot is in place: the commit stands.
+    def lost(*args):
+        raise RuntimeError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(ledger.Ledger, "compact", lost)
+        with pytest.raises(RuntimeError):
+            book.commit(book.state(), ["c"], [("t", 0, 30)])
+    assert book.state().version == 15 and "15.snapshot" not in names()
+    # A crash between the switch and the removal: both are there, and read as one.
+    with monkeypatch.context() as m:
+        m.setattr(ledger.Ledger, "clean", lost)
+        with pytest.raises(RuntimeError):
+            book.compact()
+    both = names()
+    assert {"15.snapshot", "15.commit", "10.snapshot"} <= set(both)
+    assert book.state().folders == [*(f"f{i}" for i in range(13)), "a", "c"] and book.state().version == 15
+    book.commit(book.state(), ["d"], [("t", 1, 99)])
+    book.clean()
+    assert names() == ["15.snapshot", "16.commit"] and book.state().positions == {("t", 0): 30, ("t", 1): 99}
+
+
+def test_committed_rows_come_out_over_batches_and_a_restart(spark, folder, rows):
+    """Producers that take turns, transactions over several batches: what came out is what a batch over all would give."""
+    log = spark.range(400).selectExpr(
+        "'t' AS topic", "cast(id % 2 AS int) AS partition", "id AS offset", "(id * 7) % 5 AS producer_id", "id % 11 <> 3 AS is_transactional",
+        "CASE WHEN id % 11 = 3 THEN null WHEN id % 23 = 5 THEN 'COMMIT' WHEN id % 31 = 9 THEN 'ABORT' END AS control", "id AS num")
+    files = B.prepare_batches(log, "offset", f"{folder}/in", 5, 399, range(3))
+    schema = log.withColumn("batch_key", F.lit(0)).schema
+
+    def run():
+        stream = B.batch_stream(spark, f"{folder}/in", schema, files).drop("batch_key")
+        runs.run_batches(transactions.read_committed_stream(stream), lambda d, i: d.write.mode("overwrite").parquet(
+            f"{folder}/out/batch_id={i}"), f"{folder}/cp")
+
+    with transactions.keyed_state(spark):
+        run()
+        part = spark.read.schema(log.schema).parquet(f"{folder}/out").drop("batch_id")
+        assert rows(part) == rows(P.read_committed(log.where("offset < 240")), *log.columns)
+        B.prepare_batches(log, "offset", f"{folder}/in", 5, 399, range(3, 5))
+        run()
+    whole = spark.read.schema(log.schema).parquet(f"{folder}/out").drop("batch_id")
+    assert rows(whole) == rows(P.read_committed(log), *log.columns) and 50 < whole.count() < 400
+
+
+def test_a_transaction_without_an_end_times_out(spark, folder):
+    def part(i, rows):
+        spark.createDataFrame([("t", 0, o, 1, True, c) for o, c in rows],
+                              "topic string, partition int, offset long, producer_id long, is_transactional boolean, control string"
+                              ).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    part(0, [(0, None), (1, None)])
+    stream = spark.readStream.schema(spark.read.parquet(f"{folder}/in").schema).parquet(f"{folder}/in")
+    out = []
+    with transactions.keyed_state(spark):
+        query = transactions.read_committed_stream(stream, 1).writeStream.option("checkpointLocation", f"{folder}/cp").foreachBatch(
+            lambda d, i: out.extend(r.offset for r in d.collect())).start()
+        until = time.monotonic() + 40
+        while time.monotonic() < until and query.isActive and sum(p["numInputRows"] for p in query.recentProgress) < 2:
+            time.sleep(0.1)
+        while time.monotonic() < until and query.isActive and len(query.recentProgress) < 4:  # the clock goes on without rows
+            time.sleep(0.1)
+        query.stop()
+        part(2, [(3, "COMMIT")])
+        runs.run_batches(transactions.read_committed_stream(stream, 60_000), lambda d, i: out.extend(
+            r.offset for r in d.collect()), f"{folder}/cp")
+    assert 0 not in out and 1 not in out
+
+
+@pytest.mark.parametrize("stop", [0, 2])
+def test_pending_batches_are_what_a_restart_runs(spark, folder, stop):
+    stream, seen = log_batches(spark, folder), []
+
+    def write(batch, batch_id):
+        if batch_id == stop and not seen.count("again"):
+            raise RuntimeError("between plan and commit")
+        seen.append((batch_id, batch.count()))
+
+    with pytest.raises(Exception, match="between plan and commit"):
+        runs.run_batches(stream, write, f"{folder}/cp")
+    pending = runs.pending_batches(spark, f"{folder}/cp").collect()
+    assert [r["batch_id"] for r in pending] == [stop] and "logOffset" in pending[0]["offsets"][0] and pending[0]["batch_time"]
+    known = {r["batch_id"]: r["committed"] for r in runs.planned_batches(spark, f"{folder}/cp").collect()}
+    assert known == {i: i < stop for i in range(stop + 1)}
+    seen[:] = ["again"]
+    runs.run_batches(stream, write, f"{folder}/cp")
+    assert seen == ["again", *((i, 25) for i in range(stop, 4))]
+    assert runs.pending_batches(spark, f"{folder}/cp").isEmpty()

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.session import by_value
 
 # Variant type name -> field type.
 FIELD_TYPES = {
@@ -27,31 +33,65 @@ def field_type(value: Column) -> Column:
                       F.raise_error(F.concat(F.lit("type not recognised: "), head)).cast("string"))
 
 
+class _Number(str):
+    """A number as the text has it."""
+
+
+def _walk(payload: str):
+    """(path, kind, text) of every node below a JSON text; a number stays as it is written."""
+    decoder = json.JSONDecoder(parse_int=_Number, parse_float=_Number)
+    root, _ = decoder.raw_decode(payload.lstrip())
+    left = [("", root)]
+    while left:
+        path, node = left.pop()
+        if isinstance(node, dict):
+            yield path, "MAP", None
+            left.extend((f"{path}/{key}", child) for key, child in node.items())
+        elif isinstance(node, list):
+            yield path, "LIST", None
+            left.extend((f"{path}[{i}]", child) for i, child in enumerate(node))
+        elif isinstance(node, _Number):
+            yield path, "NUMBER", str(node)
+        elif isinstance(node, bool):
+            yield path, "BOOLEAN", "true" if node else "false"
+        else:
+            yield path, "STRING", node
+
+
+def _utf8(text: str | None) -> str | None:
+    # Half a surrogate pair, which an escape may name, is no character.
+    return text if text is None or text.isascii() else text.encode("utf-8", "replace").decode()
+
+
 def typed_fields(df: DataFrame, keys: list[str], payload: str) -> DataFrame:
     """Every node below the JSON text as (keys, path, type, value); containers have a null value.
 
-    One step per level of nesting, until no container is left.
+    A path has ``/name`` for a field and ``[i]`` for an element. Texts that are no JSON give no rows. One pass: each text
+    is walked where it is read, to any depth; what a number is, its own text tells.
     """
-    spark = df.sparkSession
-    # A list and an object of one element both take a path step per child.
-    level = df.select(*keys, F.lit("").alias("path"), F.try_parse_json(payload).alias("node"))
-    level = level.where(F.col("node").isNotNull())
-    found = []
-    while True:
-        level = level.withColumn("type", field_type(F.col("node")))
-        found.append(level.select(
-            *keys, "path", "type",
-            F.when(~F.col("type").isin("MAP", "LIST"),
-                   F.try_variant_get("node", "$", "string")).alias("value")))
-        containers = level.where(F.col("type").isin("MAP", "LIST"))
-        if containers.isEmpty():
-            break
-        children = spark.tvf.variant_explode(F.col("node").outer())
-        child = F.when(F.col("type") == "MAP", F.concat("path", F.lit("/"), "key")).otherwise(
-            F.concat("path", F.lit("["), F.col("pos").cast("string"), F.lit("]")))
-        level = (containers.lateralJoin(children)
-                 .select(*keys, child.alias("path"), F.col("value").alias("node")))
-    out = found[0]
-    for part in found[1:]:
-        out = out.unionByName(part)
-    return out
+    fields = df.select(*keys).schema
+
+    def run(batches):
+        for batch in batches:
+            rows, paths, kinds, texts = [], [], [], []
+            for i, text in enumerate(batch.column("__payload").to_pylist()):
+                for path, kind, value in _walk(text):
+                    rows.append(i)
+                    paths.append(_utf8(path))
+                    kinds.append(kind)
+                    texts.append(_utf8(value))
+            at = pa.array(rows, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(i).take(at) for i in range(len(keys))), pa.array(paths, pa.string()),
+                 pa.array(kinds, pa.string()), pa.array(texts, pa.string())], names=[*keys, "path", "__kind", "__text"])
+
+    out = T.StructType([*fields, *(T.StructField(n, T.StringType()) for n in ("path", "__kind", "__text"))])
+    valid = df.where(F.try_parse_json(payload).isNotNull()).select(*keys, F.col(payload).alias("__payload"))
+    nodes = valid.mapInArrow(run, out)
+    number = F.try_parse_json(F.when(F.col("__kind") == "NUMBER", F.col("__text")))
+    return nodes.select(
+        *keys, "path", F.when(number.isNull(), F.col("__kind")).otherwise(field_type(number)).alias("type"),
+        F.when(number.isNull(), F.col("__text")).otherwise(F.try_variant_get(number, "$", "string")).alias("value"))
+
+
+by_value(__name__)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.aggregates import distinct_rows
 from tidemark.operators.joins import inner_equi
-from tidemark.session import shared_dir
+from tidemark.session import scratch_path, shared_dir
 
 # The two weights of a round.
 BASE = 0.15
@@ -17,40 +18,47 @@ DAMPING = 0.85
 HUB_EDGES = 1_000_000
 
 
+def _bucketed(df: DataFrame, key: str, buckets: int, path: str) -> tuple[str, DataFrame]:
+    """The rows as a table of one sorted file for each bucket of ``key``, and its name."""
+    name = f"tidemark_{uuid.uuid4().hex}"
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name))
+    return name, df.sparkSession.table(name)
+
+
 def pagerank(edges: DataFrame, rounds: int = 10, checkpoint_every: int = 3, hub_edges: int = HUB_EDGES,
-             tasks: int | None = None) -> DataFrame:
+             buckets: int | None = None) -> DataFrame:
     """Ranks (node, rank) after some rounds, not normalised.
 
-    A node passes ``rank / out-degree`` along each distinct edge; only nodes that got a share
-    keep a rank. A hub's edges are spread over several salts, and its rank is
-    copied once per salt, so no join task holds more than about ``hub_edges`` of one node.
+    A node passes ``rank / out-degree`` along each distinct edge; only nodes that got a share keep a rank. Edges and
+    degrees lie in tables bucketed by their source in the shared folder, and the sums of a round come out in the same
+    layout, so a round moves its shares once and no edge. Edges of nodes with more than ``hub_edges`` lie apart,
+    unbucketed, and meet the few ranks of their sources. Every ``checkpoint_every`` rounds the ranks are written down, so
+    a lost executor costs no more than the rounds since.
     """
     spark = edges.sparkSession
     shared_dir(spark)
-    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    unique = distinct_rows(edges.select("src", "dst")).persist(StorageLevel.MEMORY_AND_DISK)
-    degrees = unique.groupBy("src").agg(F.count(F.lit(1)).alias("degree")).withColumn(
-        "salts", F.ceil(F.col("degree") / F.lit(hub_edges)).cast("int"))
-    # Kept in the layout and order of the join below, with the degree, so a round moves and sorts ranks, not edges.
-    # The task count is given, or run-time coalescing would undo the layout; the table is filled
-    # before the rounds are planned, since only then its layout is known to the planner.
-    links = (
-        inner_equi(unique, degrees, "src")
-        .select("src", "dst", "degree", F.pmod(F.xxhash64("dst"), F.col("salts").cast("long")).cast("int").alias("salt"))
-        .repartition(tasks, "src", "salt").sortWithinPartitions("src", "salt").persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    links.count()
-    ranks = degrees.select(F.col("src").alias("node"), F.lit(1.0).alias("rank")).checkpoint()
-    # At most edges / hub_edges rows.
-    hubs = degrees.where(F.col("salts") > 1).select("src", "salts").checkpoint()
-    unique.unpersist()
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "ranks")
+    distinct_rows(edges.select("src", "dst")).write.parquet(f"{path}/unique")
+    unique = spark.read.parquet(f"{path}/unique")
+    degree_table, degrees = _bucketed(unique.groupBy("src").agg(F.count(F.lit(1)).alias("degree")), "src", buckets, f"{path}/degrees")
+    hubs = degrees.where(F.col("degree") > hub_edges).select("src")  # no more than edges / hub_edges rows
+    any_hubs = not hubs.isEmpty()
+    light = unique.join(hubs, "src", "left_anti") if any_hubs else unique
+    link_table, links = _bucketed(light, "src", buckets, f"{path}/links")
+    if any_hubs:
+        inner_equi(unique, hubs, "src").write.parquet(f"{path}/hub-links")
+        hub_links = spark.read.parquet(f"{path}/hub-links")
+    ranks = degrees.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
     for done in range(1, rounds + 1):
-        copies = F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))
-        sent = ranks.withColumnRenamed("node", "src").join(hubs, "src", "left").select("src", "rank", copies.alias("salt"))
-        received = inner_equi(links, sent, ["src", "salt"]).groupBy(F.col("dst").alias("node")).agg(
-            F.sum(F.col("rank") / F.col("degree")).alias("got"))
-        ranks = received.select("node", (F.lit(BASE) + F.lit(DAMPING) * F.col("got")).alias("rank"))
+        shares = ranks.join(degrees, F.col("node") == F.col("src")).select("src", (F.col("rank") / F.col("degree")).alias("share"))
+        passed = inner_equi(links, shares, "src").select("dst", "share")
+        if any_hubs:
+            passed = passed.unionByName(inner_equi(hub_links, inner_equi(shares, hubs, "src"), "src").select("dst", "share"))
+        ranks = passed.groupBy(F.col("dst").alias("node")).agg(
+            (F.lit(BASE) + F.lit(DAMPING) * F.sum("share")).alias("rank"))
         if done % checkpoint_every == 0 or done == rounds:
             ranks = ranks.checkpoint()
-    links.unpersist()
+    for name in (degree_table, link_table) if rounds else ():
+        spark.sql(f"DROP TABLE {name}")
     return ranks

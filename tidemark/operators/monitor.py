@@ -1,31 +1,26 @@
-"""Job, stage, task and batch figures as tables, and sampled statistics of a series."""
+"""Job, stage, task and batch figures as tables, and statistics of sampled series."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import half_up, once, rate_per_second
+from tidemark.operators.sampling import SAMPLE_WINDOW_MS, SAMPLES
 from tidemark.operators.windows import moving_average
-from tidemark.plans.ordering import CHUNK_ROWS, dense_index, id_chunk, running_sum, with_previous
+from tidemark.plans.ordering import CHUNK_ROWS, dense_index, id_chunk, range_chunks, running_sum
 
-# Codes of task types, default sampling, bytes of a MiB, milliseconds per unit.
+# Codes of task types, bytes of a MiB, milliseconds per unit.
 TASK_TYPES = {"resulttask": 0, "shufflemaptask": 1}
 OTHER_TASK_TYPE = -1
-SAMPLES = 2
-SAMPLE_WINDOW_MS = 30_000
 MIB = 1048576.0
 UNIT_MS = {
     "nanoseconds": 1e-6, "microseconds": 1e-3, "milliseconds": 1.0, "seconds": 1e3,
     "minutes": 6e4, "hours": 3.6e6, "days": 8.64e7,
 }
 
-EVENT_KINDS = ["SparkListenerTaskEnd", "SparkListenerStageCompleted", "SparkListenerJobStart", "SparkListenerJobEnd"]
-
 _TASK_INFO = ("struct<`Task ID`:bigint,`Index`:int,`Attempt`:int,`Launch Time`:bigint,`Executor ID`:string,"
               "`Host`:string,`Locality`:string,`Finish Time`:bigint,`Failed`:boolean,`Killed`:boolean>")
 _SHUFFLE_READ = ("struct<`Remote Blocks Fetched`:bigint,`Local Blocks Fetched`:bigint,`Fetch Wait Time`:bigint,"
@@ -41,13 +36,17 @@ _TASK_METRICS = (
     "`Output Metrics`:struct<`Bytes Written`:bigint,`Records Written`:bigint>>")
 _REASON = ("struct<`Reason`:string,`Kill Reason`:string,`Class Name`:string,`Description`:string,"
            "`Full Stack Trace`:string>")
-# The public event log format: only the fields used here.
-EVENT = (
-    f"`Event` string, `Stage ID` int, `Stage Attempt ID` int, `Task Type` string, `Task End Reason` {_REASON}, "
-    f"`Task Info` {_TASK_INFO}, `Task Metrics` {_TASK_METRICS}, "
-    "`Stage Info` struct<`Stage ID`:int,`Stage Attempt ID`:int,`Number of Tasks`:int,`Submission Time`:bigint,"
-    "`Completion Time`:bigint>, "
-    "`Job ID` int, `Submission Time` bigint, `Completion Time` bigint, `Job Result` struct<`Result`:string>")
+# The public event log format: only the kinds of events and fields used here.
+EVENTS = {
+    "SparkListenerTaskEnd": f"`Stage ID` int, `Stage Attempt ID` int, `Task Type` string, `Task End Reason` {_REASON}, "
+                            f"`Task Info` {_TASK_INFO}, `Task Metrics` {_TASK_METRICS}",
+    "SparkListenerStageCompleted": "`Stage Info` struct<`Stage ID`:int,`Stage Attempt ID`:int,`Number of Tasks`:int,"
+                                   "`Submission Time`:bigint,`Completion Time`:bigint>",
+    "SparkListenerJobStart": "`Job ID` int, `Submission Time` bigint",
+    "SparkListenerJobEnd": "`Job ID` int, `Completion Time` bigint, `Job Result` struct<`Result`:string>",
+}
+# Every event begins with its kind.
+_KIND = '^[{]"Event":"([A-Za-z]+)"'
 
 
 def read_event_log(spark: SparkSession, path: str) -> DataFrame:
@@ -55,12 +54,26 @@ def read_event_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.input_file_name().alias("app"), "value")
 
 
-def parse_events(lines: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
-    """Events of the kinds used here; other lines are told apart by their text and not parsed."""
-    known = F.lit(False)
-    for kind in EVENT_KINDS:
-        known = known | F.col(value).contains(kind)
-    return once(lines.where(known), keys, F.from_json(value, EVENT), "e").select(*keys, "e.*")
+def parse_events(lines: DataFrame, keys: list[str], value: str = "value", kinds: list[str] | None = None) -> DataFrame:
+    """Events of some kinds (all known ones, if not said) with the fields of those kinds.
+
+    A line begins with its kind, so no other line is parsed, and those that are, for the fields of their kinds alone.
+    """
+    fields = {f.strip().split("`")[1]: f.strip() for kind in kinds or EVENTS for f in _fields(EVENTS[kind])}
+    held = once(lines, [*keys, value], F.regexp_extract(value, _KIND, 1), "Event").where(F.col("Event").isin(*(kinds or EVENTS)))
+    return once(held, [*keys, "Event"], F.from_json(value, ", ".join(fields.values())), "e").select(*keys, "Event", "e.*")
+
+
+def _fields(schema: str) -> list[str]:
+    """Top-level fields of a schema text."""
+    out, depth = [""], 0
+    for char in schema:
+        depth += (char == "<") - (char == ">")
+        if char == "," and not depth:
+            out.append("")
+        else:
+            out[-1] += char
+    return out
 
 
 def _task_ends(events: DataFrame) -> DataFrame:
@@ -152,10 +165,6 @@ def expected_load(config: DataFrame, batch_ms: str, rate: str, partitions: str,
     )
 
 
-# Time of one chunk of the completion order.
-COMPLETION_CHUNK_MS = 3_600_000
-
-
 def _means_after_warmup(rows: DataFrame, job_ends: DataFrame | None, keys: list[str], means: dict[str, str], n: int,
                         warmup: int) -> DataFrame:
     """Moving means in the order of completion, of rows by whose time more than ``warmup`` jobs have ended.
@@ -170,16 +179,16 @@ def _means_after_warmup(rows: DataFrame, job_ends: DataFrame | None, keys: list[
     if job_ends is not None:
         marked = marked.unionByName(job_ends.select(*keys, "at", "id", F.lit(1).alias("side"), F.lit(1).alias("ended")),
                                     allowMissingColumns=True)
-    marked = marked.withColumn("place", F.struct("at", "side", "id"))
-    chunk = F.expr(f"at div {COMPLETION_CHUNK_MS}")
-    counted = running_sum(marked, keys, "place", "ended", chunk, "jobs").where("row is not null").select(
-        *keys, "at", "place", "jobs", "row.*")
+    # Ranges of the completion order, so that a busy hour is cut as any other.
+    marked = range_chunks(marked.withColumn("place", F.struct("at", "side", "id")), [*keys, "place"], "__range")
+    counted = running_sum(marked, keys, "place", "ended", "__range", "jobs").where("row is not null").select(
+        *keys, "at", "place", "jobs", "__range", "row.*")
     counted = counted.where(F.col(next(iter(means.values()))).isNotNull())
-    late = dense_index(counted.where(F.col("jobs") > warmup), keys, "place", chunk, "__n")
+    late = dense_index(counted.where(F.col("jobs") > warmup), keys, "place", "__range", "__n")
     for name, value in means.items():
         late = moving_average(late, keys, "__n", value, n, name)
     early = counted.where(F.col("jobs") <= warmup).withColumns({name: F.lit(0.0) for name in means})
-    return late.drop("__n").unionByName(early).drop("at", "place", "jobs")
+    return late.drop("__n").unionByName(early).drop("at", "place", "jobs", "__range")
 
 
 def _job_ends(events: DataFrame, keys: list[str]) -> DataFrame:
@@ -227,11 +236,13 @@ def stage_rates(events: DataFrame, keys: list[str], task_records: int, stage_mib
                 info["Number of Tasks"].alias("tasks"), info["Completion Time"].alias("at"),
                 (info["Completion Time"] - info["Submission Time"]).alias("duration"))
         .where(F.col("duration") > 0)
-        .withColumn("id", F.col("stage_id").cast("long") * 1000 + F.col("attempt"))
+        .withColumn("id", F.struct("stage_id", "attempt"))
         .withColumn("rate", rate_per_second(F.col("tasks").cast("long") * task_records, F.col("duration")))
         .withColumn("mib_rate", _mib_rate(stage_mib))
     )
-    return _means_after_warmup(stages, _job_ends(events, keys), keys, {"mean_rate": "rate"}, n, warmup)
+    ends = _job_ends(events, keys).select(*keys, "at", F.struct(*[F.col("id").cast("int").alias(c) for c in (
+        "stage_id", "attempt")]).alias("id"))
+    return _means_after_warmup(stages, ends, keys, {"mean_rate": "rate"}, n, warmup)
 
 
 def job_rates(events: DataFrame, keys: list[str], stage_records: int, stage_mib: float, n: int,
@@ -265,95 +276,22 @@ def batch_info(batches: DataFrame) -> DataFrame:
                           F.col("end_ms").alias("processing_end_time"), "num_records")
 
 
+BATCH_ROW = ("series string, batch_no bigint, batch_time bigint, submit_ms bigint, start_ms bigint, end_ms bigint, "
+             "num_records bigint")
+
+
+def progress_row(report: dict) -> tuple:
+    """The figures of a batch, as in ``BATCH_ROW``, from a progress report."""
+    at = int(pd.Timestamp(report["timestamp"]).timestamp() * 1000)
+    took = report["durationMs"]
+    ready = at + int(took.get("latestOffset", 0)) + int(took.get("queryPlanning", 0))
+    return (report["name"] or report["id"], int(report["batchId"]), at, at, ready, at + int(took.get("triggerExecution", 0)),
+            int(report["numInputRows"]))
+
+
 def progress_rows(spark: SparkSession, progress: list[dict]) -> DataFrame:
-    """Batch rows of the recent progress reports of a streaming query (Spark keeps a fixed number of them)."""
-    rows = []
-    for p in progress:
-        at = int(pd.Timestamp(p["timestamp"]).timestamp() * 1000)
-        took = p["durationMs"]
-        ready = at + int(took.get("latestOffset", 0)) + int(took.get("queryPlanning", 0))
-        rows.append((p["name"] or p["id"], int(p["batchId"]), at, at, ready,
-                     at + int(took.get("triggerExecution", 0)), int(p["numInputRows"])))
-    return spark.createDataFrame(
-        rows, "series string, batch_no bigint, batch_time bigint, submit_ms bigint, start_ms bigint, end_ms bigint, "
-              "num_records bigint")
-
-
-_SAMPLE_COLUMNS = ["start_ms", "count", "sum", "min", "max", "first"]
-
-
-def samples(df: DataFrame, series: str, order: str, time_ms: str, value: str, now_ms: int,
-            n_samples: int = SAMPLES, window_ms: int = SAMPLE_WINDOW_MS, event_window: int | None = None,
-            chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Live samples of each series: (series, start_ms, count, sum, min, max).
-
-    A sample starts with a record and closes ``window_ms`` later or after ``event_window``
-    records. A gap of a whole window always starts a new one, so a series is cut there;
-    cuts that ended before the retention are never folded. Times are not negative and do not
-    decrease along ``order``, a non-negative integer unique in the series. A series that
-    never pauses for a window is one cut: one task folds it in order and holds one sample at a time.
-    """
-    keep_from = now_ms - n_samples * window_ms
-    rows = df.select(F.col(series).alias("series"), F.col(order).alias("o"), F.col(time_ms).alias("t"),
-                     F.col(value).cast("double").alias("v"))
-    if event_window is None:
-        # Records of one millisecond never part, so they are summed before anything is ordered.
-        rows = rows.groupBy("series", "t").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"), F.min("v").alias("lo"), F.max("v").alias("hi")
-        ).withColumn("o", F.col("t"))
-    else:
-        rows = rows.select("series", "o", "t", F.lit(1).cast("long").alias("n"), F.col("v").alias("s"),
-                           F.col("v").alias("lo"), F.col("v").alias("hi"))
-    chunk = id_chunk("o", chunk_rows)
-    flagged = with_previous(rows, ["series"], "o", "t", chunk, "before").withColumn(
-        "cut", F.when(F.col("t") - F.col("before") >= window_ms, 1).otherwise(0))
-    segments = running_sum(flagged.drop("before"), ["series"], "o", "cut", chunk, "segment")
-    ends = segments.groupBy("series", "segment").agg(F.max("t").alias("last_t")).where(F.col("last_t") > keep_from)
-    live = segments.join(ends.drop("last_t"), ["series", "segment"], "left_semi")
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # One open sample is carried from batch to batch; steps are per sample, not per row.
-        group, sample = None, None
-        for pdf in batches:
-            out = []
-            keys = list(zip(pdf["series"], pdf["segment"]))
-            border = [i for i in range(1, len(keys)) if keys[i] != keys[i - 1]]
-            for lo, hi in zip([0, *border], [*border, len(keys)]):
-                if lo == hi:
-                    continue
-                if keys[lo] != group:
-                    if sample:
-                        out.append((group[0], *sample))
-                    group, sample = keys[lo], None
-                times, n, total, least, most, places = (
-                    pdf[c].to_numpy()[lo:hi] for c in ("t", "n", "s", "lo", "hi", "o"))
-                at = 0
-                while at < len(times):
-                    full = sample and event_window is not None and sample[1] >= event_window
-                    if sample and (full or times[at] - sample[0] >= window_ms):
-                        out.append((group[0], *sample))
-                        sample = None
-                    start = sample[0] if sample else int(times[at])
-                    stop = int(np.searchsorted(times, start + window_ms, "left"))
-                    if event_window is not None:
-                        stop = min(stop, at + event_window - (sample[1] if sample else 0))
-                    old = sample or (start, 0, 0.0, np.inf, -np.inf, int(places[at]))
-                    sample = (start, old[1] + int(n[at:stop].sum()), old[2] + float(total[at:stop].sum()),
-                              min(old[3], float(least[at:stop].min())), max(old[4], float(most[at:stop].max())), old[5])
-                    at = stop
-            yield pd.DataFrame(out, columns=["series", *_SAMPLE_COLUMNS])
-        if sample:
-            yield pd.DataFrame([(group[0], *sample)], columns=["series", *_SAMPLE_COLUMNS])
-
-    folded = (
-        live.select("series", "segment", "o", "t", "n", "s", "lo", "hi").repartition("series", "segment")
-        .sortWithinPartitions("series", "segment", "o")
-        .mapInPandas(fold, "series string, start_ms bigint, count bigint, sum double, min double, max double, first bigint")
-        .where(F.col("start_ms") > keep_from)
-    )
-    # Samples that close on a count within one millisecond share a start, so the first record tells them apart.
-    newest = Window.partitionBy("series").orderBy(F.desc("first"))
-    return folded.withColumn("__rank", F.row_number().over(newest)).where(F.col("__rank") <= n_samples).drop("__rank", "first")
+    """Batch rows of progress reports; ``streaming.capture`` collects them while queries run."""
+    return spark.createDataFrame([progress_row(p) for p in progress], BATCH_ROW)
 
 
 def sampled_stats(live: DataFrame, series: DataFrame) -> DataFrame:

@@ -56,6 +56,16 @@ def map_partitions(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterato
     return source.mapInPandas(fn, schema)
 
 
+def table_function(df: DataFrame, handler: type, schema: str, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """A user's table function on the rows of each key, in an order.
+
+    A fresh ``handler`` serves each key: its ``eval`` gets the rows a batch at a time and yields tables, ``terminate`` may
+    yield what is left.
+    """
+    rows = df.asTable().partitionBy(*keys)
+    return F.arrow_udtf(handler, returnType=schema)(rows.orderBy(*order) if order else rows)
+
+
 def repartition_to(df: DataFrame, partitions: int, merge_only: bool = False) -> DataFrame:
     """This many partitions, as is when 0 or less; no job runs while the plan is built.
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import once
 from tidemark.operators import monitor as M
+from tidemark.operators import sampling
 from tidemark.plans import views as V
 from tidemark.plans.catalog import BATCHES, SENSOR, half_up_sql, mean3_sql, query, rounded
 from tidemark.session import scratch_path
@@ -33,8 +34,12 @@ def _(spark, sf):
 
 
 def task_lines(spark, sf):
-    """One task-end line of an event log per order; the order's fields stand for the figures."""
-    orders = V.table(spark, sf, "orders").withColumnRenamed("o_orderpriority", "app")
+    """One task-end line of an event log per order; the order's fields stand for the figures.
+
+    A log comes in many files, so the rows are dealt out before lines are made of them.
+    """
+    orders = V.table(spark, sf, "orders").select(
+        F.col("o_orderpriority").alias("app"), "o_orderkey", "o_custkey", "o_orderdate").repartition("o_orderkey")
     return once(orders, ["app"], F.expr("""to_json(named_struct(
           'Event', 'SparkListenerTaskEnd', 'Stage ID', cast(o_custkey % 50 AS int), 'Stage Attempt ID', if(o_orderkey % 97 = 0, -1, 0),
           'Task Type', CASE o_orderkey % 3 WHEN 0 THEN 'ResultTask' WHEN 1 THEN 'ShuffleMapTask' ELSE 'OtherTask' END,
@@ -75,7 +80,7 @@ _TASK_SQL = f"""tasks AS (SELECT o_orderpriority AS app, o_orderkey AS k, o_cust
 
 @query("mon_task_metrics", f"WITH {_TASK_SQL} SELECT * EXCLUDE (k, c) FROM figures")
 def _(spark, sf):
-    return M.task_metrics(M.parse_events(task_lines(spark, sf), ["app"]), ["app"])
+    return M.task_metrics(M.parse_events(task_lines(spark, sf), ["app"], kinds=["SparkListenerTaskEnd"]), ["app"])
 
 
 @query("mon_task_failures", f"""
@@ -84,9 +89,10 @@ def _(spark, sf):
     k + 5 AS "localBytesRead", k + 1 AS "remoteBlocksFetched", k + 4 AS "remoteBytesRead", 2 * k + 3 AS "totalBlocksFetched", 2 * k + 9 AS "totalBytesRead",
     k + 8 AS "shuffleWriteTime", k + 7 AS "shuffleBytesWritten", k + 9 AS "shuffleRecordsWritten" FROM figures WHERE NOT success""")
 def _(spark, sf):
-    return M.task_failures(M.parse_events(task_lines(spark, sf), ["app"]), ["app"])
+    return M.task_failures(M.parse_events(task_lines(spark, sf), ["app"], kinds=["SparkListenerTaskEnd"]), ["app"])
 
 
+STAGE_AND_JOB = ["SparkListenerStageCompleted", "SparkListenerJobStart", "SparkListenerJobEnd"]
 JOB_START = "(cast(c_custkey AS bigint) * 7919 % 100003 * 1000)"
 
 
@@ -127,7 +133,7 @@ _JOBS_BEFORE = """(SELECT count(*) FROM job0 j WHERE j.app = x.app AND j."at" <
        {_kind_sql('stage', 'c_custkey * 37 % 900', '5000 * (c_nationkey + 1)', 'true', _JOBS_BEFORE)}
   SELECT * FROM stage UNION ALL SELECT * FROM job""")
 def _(spark, sf):
-    events = M.parse_events(stage_job_lines(spark, sf), ["app"])
+    events = M.parse_events(stage_job_lines(spark, sf), ["app"], kinds=STAGE_AND_JOB)
     columns = ["app", "kind", "number", "duration", "rate", "mib_rate", "mean_rate"]
     stages = M.stage_rates(events, ["app"], 5000, 2.5, 5, 10).withColumns(
         {"kind": F.lit("stage"), "number": F.col("stage_id").cast("long")}).select(*columns)
@@ -167,7 +173,7 @@ def _sampled(spark, sf):
     ordered = V.table(spark, sf, "events").select(
         F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("pointId"), "event_id",
         F.unix_millis(F.col("ts").cast("timestamp")).alias("time"), "value")
-    live = M.samples(ordered, "pointId", "event_id", "time", "value", _NOW, _SAMPLES, _WINDOW)
+    live = sampling.samples(ordered, "pointId", "event_id", "time", "value", _NOW, _SAMPLES, _WINDOW)
     return M.sampled_stats(live, records.select(F.col("pointId").alias("series")).distinct())
 
 

@@ -98,10 +98,13 @@ def _(spark, sf):
 
 
 def _transactional(spark, sf):
+    return transactional(V.raw_log(spark, sf))
+
+
+def transactional(log):
     control = F.when(F.col("event_type") == "error", P.ABORT).when(F.col("event_type") == "signup", P.COMMIT)
-    return V.raw_log(spark, sf).select(
-        *TP, "offset", F.col("user_id").alias("producer_id"), (F.col("event_type") != "view").alias("is_transactional"),
-        control.alias("control"))
+    return log.select(*TP, "offset", F.col("user_id").cast("bigint").alias("producer_id"),
+                      (F.col("event_type") != "view").alias("is_transactional"), control.alias("control"))
 
 
 _TX = RAW_LOG + """, tx AS (SELECT "partition", "offset", user_id AS producer_id, event_type <> 'view' AS tx,
@@ -112,9 +115,12 @@ _TX = RAW_LOG + """, tx AS (SELECT "partition", "offset", user_id AS producer_id
                                         ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))"""
 
 
-@query("log_read_committed", f"""
+READ_COMMITTED = f"""
   WITH {_TX} SELECT "partition", "offset", producer_id FROM tx WHERE NOT tx
-  UNION ALL SELECT "partition", "offset", producer_id FROM nxt WHERE control IS NULL AND marker = 'COMMIT'""")
+  UNION ALL SELECT "partition", "offset", producer_id FROM nxt WHERE control IS NULL AND marker = 'COMMIT'"""
+
+
+@query("log_read_committed", READ_COMMITTED)
 def _(spark, sf):
     return P.read_committed(_transactional(spark, sf)).select("partition", "offset", "producer_id")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +11,7 @@ from tidemark.operators import records as R
 from tidemark.operators import transforms as X
 from tidemark.plans import views as V
 from tidemark.plans.catalog import (LINES, RAW_BOUNDS, RAW_LOG, SENSOR, half_up_sql, ms, query, rounded)
-from tidemark.session import scratch_path
+from tidemark.session import by_value, scratch_path
 from tidemark.sources import files, jdbc
 from tidemark.sources import log as L
 from tidemark.operators.positions import begin_end_offsets
@@ -427,9 +428,12 @@ def _(spark, sf):
   SELECT lower(word) AS word, count(*) AS n FROM (SELECT unnest(string_split(rtrim(text, ' '), ' ')) AS word FROM documents)
   WHERE length(word) > 3 GROUP BY ALL""")
 def _(spark, sf):
-    docs = V.table(spark, sf, "documents")
-    flat = X.flat_map_rows(docs, scalar.split_java(F.col("text")), "word").where(F.length("word") > 3)
-    return X.map_rows(flat, word=F.lower("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    # Three user functions, each on whole batches: a list for each text, a choice of words, a word for a word.
+    docs = V.table(spark, sf, "documents").where("text is not null").select("text")
+    flat = X.flat_map_values(docs, lambda texts: texts.str.rstrip(" ").str.split(" "), "text", "word", "string")
+    long = X.filter_rows(flat, lambda words: words.str.len() > 3, "word")
+    return X.map_values(long, lambda words: words.str.lower(), "word", "word", "string").groupBy("word").agg(
+        F.count(F.lit(1)).alias("n"))
 
 
 @query("udf_partition", "SELECT event_id, value * 2 AS doubled FROM events")
@@ -442,6 +446,25 @@ def _(spark, sf):
                             "event_id bigint, doubled double")
 
 
+class _Before:
+    """The value of the row before, in the order of a key's rows."""
+
+    def __init__(self):
+        self.last = None
+
+    def eval(self, batch):
+        values = batch.column("value")
+        before = pa.concat_arrays([pa.array([self.last], values.type), values[:-1]])
+        self.last = values[-1].as_py()
+        yield pa.table({"event_id": batch.column("event_id"), "previous": before})
+
+
+@query("udf_partition_ordered", "SELECT event_id, lag(value) OVER (PARTITION BY user_id ORDER BY event_id) AS previous FROM events")
+def _(spark, sf):
+    events = V.table(spark, sf, "events").select("user_id", "event_id", "value")
+    return X.table_function(events, _Before, "event_id bigint, previous double", ["user_id"], ["event_id"])
+
+
 @query("udf_transform_chain", f"""
   WITH {SENSOR} SELECT pointId AS "pointId", time, value * 10 AS scaled FROM sensor WHERE value > 50""")
 def _(spark, sf):
@@ -478,3 +501,6 @@ def _(spark, sf):
         held.select("event_type", "total").write.parquet(f"{path}/total")
     return spark.read.parquet(f"{path}/n").join(spark.read.parquet(f"{path}/total"), "event_type").select(
         "event_type", "n", rounded("total"))
+
+
+by_value(__name__)

@@ -9,6 +9,7 @@ from tidemark.operators import generate as G
 from tidemark.plans import views as V
 from tidemark.plans.catalog import (BATCH_KEYS, SENSOR, WORDS, ms, query, rounded, windows_sql)
 from tidemark.plans.bind_aggregates import draw_sql
+from tidemark.plans.bind_positions import READ_COMMITTED, transactional
 from tidemark.functions.scalar import split_java
 from tidemark.schemas import EVENTS
 from tidemark.session import scratch_path, use_utc
@@ -17,6 +18,7 @@ from tidemark.sources.log import to_log_rows
 from tidemark.streaming import batches as B
 from tidemark.streaming import delivery as D
 from tidemark.streaming import runs
+from tidemark.streaming import transactions as X
 from tidemark.streaming import windows as W
 
 
@@ -36,6 +38,17 @@ def _words(spark, sf):
     return W.line_words(event_stream(spark, sf), "event_type")
 
 
+def _timed(spark, sf, label):
+    """``events`` as a stream of four batches that follow the time."""
+    events = V.table(spark, sf, "events").select("user_id", "event_type", F.col("ts").cast("timestamp").alias("timestamp"))
+    seconds = F.unix_seconds("timestamp")
+    ends = events.agg(F.min(seconds), F.max(seconds)).first()
+    events = events.withColumn("second", seconds - (ends[0] or 0))
+    path = f"{scratch_path(spark, label)}/in"
+    per_batch = B.prepare_batches(events, "second", path, 4, (ends[1] or 0) - (ends[0] or 0))
+    return B.batch_stream(spark, path, events.withColumn("batch_key", F.lit(0)).schema, per_batch).drop("second", "batch_key")
+
+
 # ---------------------------------------------------------------- sources
 
 
@@ -92,8 +105,12 @@ def words_sql(number: str, seed: int) -> str:
   r AS (SELECT start, unnest(range(3)) AS i FROM m)
   SELECT start, i::VARCHAR AS "key", {words_sql('(start // 1000) * 3 + i', 0)} AS value FROM r""")
 def _(spark, sf):
+    # Starts of intervals come as a stream, and each lets so many rows out.
+    path = scratch_path(spark, "fixed-rate")
     minutes = V.sensor(spark, sf).select(F.expr("time div 60000 * 60000").alias("start")).distinct()
-    return G.fixed_rate(minutes, "start", 3)
+    minutes.write.parquet(f"{path}/in")
+    stream = G.fixed_rate(B.batch_stream(spark, f"{path}/in", minutes.schema, 4), "start", 3)
+    return B.each_batch_table(stream, lambda d: d, path).drop("batch_id")
 
 
 # ---------------------------------------------------------------- sinks
@@ -173,18 +190,18 @@ _20_10 = windows_sql('events', 20_000_000, 10_000_000, 'event_type AS word, user
 @query("stream_word_window_20_10", f"""
   WITH w AS ({_20_10}) SELECT ws // 1000 AS window_start, ws // 1000 + 20000 AS window_end, word, count(*) AS count FROM w GROUP BY ALL""")
 def _(spark, sf):
-    counts = W.word_sliding(_words(spark, sf), "20 seconds", "10 seconds")
-    return runs.update_table(counts, ["window_start", "window_end", "word"], "words-20").select(
-        ms("window_start"), ms("window_end"), "word", "count")
+    # Batches follow the time, so nothing is late; the watermark lets go of windows that are over.
+    words = _timed(spark, sf, "words-20").select(F.col("event_type").alias("word"), "timestamp")
+    counts = runs.closed_table(words, lambda d: W.word_sliding(d, "20 seconds", "10 seconds", "1 minute", True), "timestamp", "words-20")
+    return counts.where("word is not null").select(ms("window_start"), ms("window_end"), "word", "count")
 
 
 @query("stream_reduce_by_key_window", f"""
   WITH w AS ({_20_10}) SELECT ws // 1000 AS window_start, ws // 1000 + 20000 AS window_end, word, sum(user_id)::BIGINT AS sum FROM w GROUP BY ALL""")
 def _(spark, sf):
-    pairs = event_stream(spark, sf).select("timestamp", F.col("event_type").alias("word"), "user_id")
-    sums = W.reduce_by_key_window(pairs, "word", "user_id")
-    return runs.update_table(sums, ["window_start", "window_end", "word"], "sums-20").select(
-        ms("window_start"), ms("window_end"), "word", "sum")
+    pairs = _timed(spark, sf, "sums-20").select("timestamp", F.col("event_type").alias("word"), "user_id")
+    sums = runs.closed_table(pairs, lambda d: W.reduce_by_key_window(d, "word", "user_id", watermark="1 minute", panes=True), "timestamp", "sums-20")
+    return sums.where("word is not null").select(ms("window_start"), ms("window_end"), "word", "sum")
 
 
 @query("stream_word_per_batch", f"""
@@ -229,7 +246,7 @@ def _(spark, sf):
 
 def _log_rows(stream):
     return stream.select(F.lit("events").alias("topic"), F.expr(f"cast(user_id % {V.PARTITIONS} AS int)").alias("partition"),
-                         F.col("event_id").alias("offset"), "event_type", "value")
+                         F.col("event_id").alias("offset"), "event_type", "value", "user_id")
 
 
 @query("log_exactly_once_sink", """
@@ -260,6 +277,22 @@ def _(spark, sf):
     return D.delivered(spark, f"{path}/out").select("offset", "partition", "word", "value")
 
 
+@query("stream_read_committed", READ_COMMITTED)
+def _(spark, sf):
+    path = scratch_path(spark, "committed")
+
+    def write(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
+
+    # Transactions that are open when the first run ends go on in the second one.
+    with X.keyed_state(spark):
+        for numbers in (range(2), range(2, 4)):
+            stream, _ = _prepared(spark, sf, "committed", path, numbers)
+            rows = X.read_committed_stream(transactional(_log_rows(stream)))
+            runs.run_batches(rows, write, f"{path}/checkpoint")
+    return spark.read.schema(rows.schema).parquet(f"{path}/rows").select("partition", "offset", "producer_id")
+
+
 # ---------------------------------------------------------------- generators
 
 

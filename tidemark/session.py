@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
+import sys
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 # Folders of the scratch scopes that are open, the innermost last.
@@ -77,3 +79,8 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         _SCOPES.remove(folder)
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def by_value(module: str) -> None:
+    """Send what workers need of this module with their tasks, so that executors need not have the package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])

@@ -1,9 +1,9 @@
 """Rows and positions stored as one unit, so that each input counts once.
 
 A batch keeps only rows at or after the stored position of their partition, writes them into a fresh folder, and then
-a ledger entry that names the folder, with the first and next offset of every partition. Readers only see folders
-that the ledger names, so a failed attempt leaves nothing behind, and it does not matter whether a restarted query has
-its checkpoint, or cuts its batches as before. Offsets of a partition must arrive in order.
+commits the folder and the next offset of every partition to a ledger. Readers only see folders that the ledger names,
+so a failed attempt leaves nothing behind, and it does not matter whether a restarted query has its checkpoint, or cuts
+its batches as before. Offsets of a partition must arrive in order.
 """
 
 from __future__ import annotations
@@ -11,50 +11,35 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.schemas import POSITIONS
 from tidemark.sources.log import TP
-
-
-# The schema is given, so a look at the ledger opens no file to find it out.
-LEDGER = "topic string, partition int, first_offset bigint, next_offset bigint, folder string"
-
-
-def _ledger(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(LEDGER).parquet(f"{path}/ledger")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], LEDGER)
+from tidemark.streaming.ledger import Ledger, State
 
 
 def exactly_once_writer(path: str, work: Callable[[DataFrame], DataFrame] = lambda d: d,
                         before_commit: Callable[[int], None] = lambda batch_id: None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: ``work`` on rows that are new, rows out, then the ledger entry.
 
-    ``before_commit`` runs between the two writes; an error there leaves the batch unseen.
+    ``before_commit`` runs between the two writes; an error there leaves the batch unseen. Offsets are read in a pass of
+    their own, over their columns alone.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = unread(batch, stored_positions(spark, path)).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            folder = uuid.uuid4().hex
-            entry = fresh.groupBy(*TP).agg(F.min("offset").alias("first_offset"), (F.max("offset") + 1).alias("next_offset"))
-            entry = entry.withColumn("folder", F.lit(folder)).collect()  # one row per partition of the log
-            if not entry:
-                return
-            work(fresh).write.parquet(f"{path}/rows/folder={folder}")
-            before_commit(batch_id)
-            # A single small file is the commit.
-            spark.createDataFrame(entry, LEDGER).coalesce(1).write.mode("append").parquet(f"{path}/ledger")
-        finally:
-            fresh.unpersist()
+        ledger = Ledger(spark, f"{path}/ledger")
+        state = ledger.state()
+        fresh = unread(batch, _positions(spark, state))
+        ends = fresh.groupBy(*TP).agg((F.max("offset") + 1).alias("next")).collect()  # one row per partition of the log
+        if not ends:
+            return
+        folder = f"rows/{state.version + 1}-{uuid.uuid4().hex}"
+        work(fresh).write.parquet(f"{path}/{folder}")
+        before_commit(batch_id)
+        ledger.commit(state, [folder], [(r["topic"], r["partition"], r["next"]) for r in ends])
 
     return write
 
@@ -82,16 +67,24 @@ def abort_every_other(path: str, work: Callable[[DataFrame], DataFrame] = lambda
     return write
 
 
-def delivered(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the folders in the ledger."""
-    done = _ledger(spark, path).select("folder").distinct()
-    return spark.read.parquet(f"{path}/rows").join(done, "folder", "left_semi").drop("folder")
+def delivered(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """Rows of the folders in the ledger; where nothing was delivered yet, an empty table of ``schema``."""
+    folders = Ledger(spark, f"{path}/ledger").state().folders
+    if not folders:
+        return spark.createDataFrame([], schema or T.StructType())
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(*[f"{path}/{folder}" for folder in folders])
+
+
+def _positions(spark: SparkSession, state: State) -> DataFrame:
+    return spark.createDataFrame([(*key, offset) for key, offset in state.positions.items()],
+                                 "topic string, partition int, offset bigint")
 
 
 def stored_positions(spark: SparkSession, path: str) -> DataFrame:
     """Next offset per partition."""
-    return _ledger(spark, path).groupBy(*TP).agg(F.max("next_offset").alias("offset")).select(
-        *TP, "offset", F.lit(None).cast(POSITIONS["metadata"].dataType).alias("metadata"))
+    return _positions(spark, Ledger(spark, f"{path}/ledger").state()).withColumn(
+        "metadata", F.lit(None).cast(POSITIONS["metadata"].dataType))
 
 
 def unread(log: DataFrame, positions: DataFrame) -> DataFrame:

@@ -23,6 +23,38 @@ def run_batches(stream: DataFrame, fn: BatchFn, checkpoint: str, mode: str = "ap
     return [json.loads(p.json) for p in query.recentProgress]
 
 
+def planned_batches(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``batch_id, batch_time, watermark_ms, offsets, committed`` of the batches that a checkpoint knows of.
+
+    A batch is planned, with the offsets of its sources and its time, before it runs, and committed after; what is planned
+    and not committed, a restart runs again. Spark keeps a number of batches that ``spark.sql.streaming.minBatchesToRetain``
+    sets.
+    """
+    def entries(log: str) -> DataFrame:
+        files = spark.read.text(f"{checkpoint}/{log}", wholetext=True)
+        number = F.regexp_extract(F.input_file_name(), "([0-9]+)$", 1).cast("long")
+        return files.select(number.alias("batch_id"), F.split("value", "\n").alias("lines")).where("batch_id is not null")
+
+    # The first line is the format's version, the second one the batch, the others one source each.
+    plan = F.from_json(F.col("lines")[1], "batchWatermarkMs bigint, batchTimestampMs bigint")
+    planned = entries("offsets").select(
+        "batch_id", F.timestamp_millis(plan["batchTimestampMs"]).alias("batch_time"), plan["batchWatermarkMs"].alias("watermark_ms"),
+        F.filter(F.slice("lines", 3, F.greatest(F.size("lines") - 2, F.lit(0))), lambda line: line != "").alias("offsets"))
+    # A query that never ended a batch has no log of commits.
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    done = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(
+        spark._jvm.org.apache.hadoop.fs.Path(path, "[0-9]*"))
+    if not done:
+        return planned.withColumn("committed", F.lit(False))
+    commits = entries("commits").select("batch_id", F.lit(True).alias("committed"))
+    return planned.join(commits, "batch_id", "left").withColumn("committed", F.coalesce("committed", F.lit(False)))
+
+
+def pending_batches(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Batches that were planned and not committed, which a restart runs again before any new one, in order of time."""
+    return planned_batches(spark, checkpoint).where("NOT committed").drop("committed").orderBy("batch_time", "batch_id")
+
+
 def update_table(stream: DataFrame, keys: list[str], label: str, path: str | None = None) -> DataFrame:
     """Result of a stream aggregate as a table.
 
@@ -41,6 +73,35 @@ def update_table(stream: DataFrame, keys: list[str], label: str, path: str | Non
     return newest_rows(spark, f"{path}/rows", keys)
 
 
+# Event time of the row that closes a stream; later than any real one, and in reach of every width.
+END_TIME = "9000-01-01"
+
+
+def closed_table(source: DataFrame, build: Callable[[DataFrame], DataFrame], time: str, label: str,
+                 path: str | None = None) -> DataFrame:
+    """Result of ``build`` on a whole stream with a watermark, as a table.
+
+    Append mode writes a group once, when the watermark has passed it, and forgets it. To let the last ones out, a row
+    with nothing but a time beyond all others ends the stream; ``build`` must keep ``time`` and stand null columns.
+    """
+    spark = source.sparkSession
+    path = path or scratch_path(spark, label)
+    nothing = spark.createDataFrame([], source.schema)
+    nothing.write.mode("append").parquet(f"{path}/end")
+    stream = build(source.unionByName(spark.readStream.schema(source.schema).parquet(f"{path}/end")))
+    spark.createDataFrame([], stream.schema).write.mode("overwrite").parquet(f"{path}/rows/batch_id=-1")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
+
+    run_batches(stream, write, f"{path}/checkpoint")
+    end = spark.range(1).select(*[
+        (F.lit(END_TIME) if f.name == time else F.lit(None)).cast(f.dataType).alias(f.name) for f in source.schema])
+    end.write.mode("append").parquet(f"{path}/end")
+    run_batches(stream, write, f"{path}/checkpoint")
+    return spark.read.schema(stream.schema).parquet(f"{path}/rows").select(*stream.columns)
+
+
 def newest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     rows = spark.read.parquet(path)
     values = [c for c in rows.columns if c not in (*keys, "batch_id")]
