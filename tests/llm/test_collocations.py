@@ -57,6 +57,8 @@ def test_hot_prefixes_small_bitmaps_and_steps(spark, monkeypatch):
     monkeypatch.setattr(collocations, "SHARES", 1 << 16)
     monkeypatch.setattr(collocations, "BITS", 1 << 8)
     monkeypatch.setattr(collocations, "STEP", 50)
+    monkeypatch.setattr(collocations, "HASH_STEP", 40)
+    monkeypatch.setattr(collocations, "BLOCK_BYTES", 200)
     monkeypatch.setattr(collocations, "SALTS", 3)
     rows = [(f"a b {x} a b c{x % 3} a a a", "en") for x in range(60)] * 3 + [("a b", "de")] * 9
     docs = spark.createDataFrame(rows, "text string, lang string").repartition(5)
