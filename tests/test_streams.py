@@ -179,14 +179,15 @@ def test_panes_drop_state_and_late_rows(spark, rows, tmp_path, build, batch):
         listener.onQueryProgress = lambda e: (seen.append(sum(s.numRowsTotal for s in e.progress.stateOperators)), held(e))
         table = runs.closed_table(source, build, "timestamp", "panes", f"{tmp_path}/out")
     got = table.where("word is not null")
-    assert rows(got) == rows(batch(whole), *got.columns) and len(seen) > 8
-    assert max(seen[1:]) < 600  # of about 6000 panes and windows; a batch of 250 s is open, and 20 s before it
+    first = rows(got)
+    assert first == rows(batch(whole), *got.columns) and len(seen) > 8
+    assert max(seen[1:]) < 1500  # of about 6000 panes and windows; one batch of 250 s is open, and 20 s before it
     assert max(seen[-1:]) < 20
     # After the end everything is late.
     late.write.mode("append").parquet(f"{tmp_path}/in")
     runs.closed_table(source, build, "timestamp", "panes", f"{tmp_path}/out")
     assert rows(spark.read.schema(table.schema).parquet(f"{tmp_path}/out/rows").where("word is not null"),
-                *got.columns) == rows(got)
+                *got.columns) == first
 
 
 def test_nothing_delivered_yet(spark, folder):
@@ -263,18 +264,23 @@ def test_a_transaction_without_an_end_times_out(spark, folder):
     stream = spark.readStream.schema(spark.read.parquet(f"{folder}/in").schema).parquet(f"{folder}/in")
     out = []
     with transactions.keyed_state(spark):
-        query = transactions.read_committed_stream(stream, 1).writeStream.option("checkpointLocation", f"{folder}/cp").foreachBatch(
-            lambda d, i: out.extend(r.offset for r in d.collect())).start()
-        until = time.monotonic() + 40
-        while time.monotonic() < until and query.isActive and sum(p["numInputRows"] for p in query.recentProgress) < 2:
-            time.sleep(0.1)
-        while time.monotonic() < until and query.isActive and len(query.recentProgress) < 4:  # the clock goes on without rows
+        query = transactions.read_committed_stream(stream, 1500).writeStream.option(
+            "checkpointLocation", f"{folder}/cp").foreachBatch(lambda d, i: out.extend(r.offset for r in d.collect())).start()
+
+    def wait(done, seconds=30):
+        until = time.monotonic() + seconds
+        while time.monotonic() < until and query.isActive and not done():
             time.sleep(0.1)
+
+    try:
+        wait(lambda: any(p["numInputRows"] for p in query.recentProgress))
+        wait(lambda: False, 4)  # the clock goes on without rows
+        part(1, [(2, "COMMIT")])  # too late
+        part(2, [(3, None), (4, "COMMIT")])
+        wait(lambda: 3 in out)
+    finally:
         query.stop()
-        part(2, [(3, "COMMIT")])
-        runs.run_batches(transactions.read_committed_stream(stream, 60_000), lambda d, i: out.extend(
-            r.offset for r in d.collect()), f"{folder}/cp")
-    assert 0 not in out and 1 not in out
+    assert out == [3]
 
 
 @pytest.mark.parametrize("stop", [0, 2])

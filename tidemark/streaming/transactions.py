@@ -83,7 +83,8 @@ def read_committed_stream(log: DataFrame, timeout_ms: int | None = None) -> Data
     """The rows that ``operators.positions.read_committed`` gives, each as soon as it is visible.
 
     Rows outside transactions come at once, those of a transaction with its commit marker. Offsets of a partition have to
-    arrive in order of batches; inside a batch any order will do. Start the query inside ``keyed_state``.
+    arrive in order of batches; inside a batch any order will do. Start the query inside ``keyed_state``. With ``timeout_ms``
+    the clock makes batches too, so such a query goes on until it is stopped.
     """
     plain = log.where(~F.col("is_transactional") & F.col("control").isNull())
     inside = log.where("is_transactional")
