@@ -39,7 +39,8 @@ def task_lines(spark, sf):
     A log comes in many files, so the rows are dealt out before lines are made of them.
     """
     orders = V.table(spark, sf, "orders").select(
-        F.col("o_orderpriority").alias("app"), "o_orderkey", "o_custkey", "o_orderdate").repartition("o_orderkey")
+        F.col("o_orderpriority").alias("app"), "o_orderkey", "o_custkey", "o_orderdate").repartition(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), "o_orderkey")
     return once(orders, ["app"], F.expr("""to_json(named_struct(
           'Event', 'SparkListenerTaskEnd', 'Stage ID', cast(o_custkey % 50 AS int), 'Stage Attempt ID', if(o_orderkey % 97 = 0, -1, 0),
           'Task Type', CASE o_orderkey % 3 WHEN 0 THEN 'ResultTask' WHEN 1 THEN 'ShuffleMapTask' ELSE 'OtherTask' END,
