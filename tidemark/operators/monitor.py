@@ -45,10 +45,6 @@ EVENTS = {
     "SparkListenerJobStart": "`Job ID` int, `Submission Time` bigint",
     "SparkListenerJobEnd": "`Job ID` int, `Completion Time` bigint, `Job Result` struct<`Result`:string>",
 }
-# Every event begins with its kind.
-_KIND = '^[{]"Event":"([A-Za-z]+)"'
-
-
 def read_event_log(spark: SparkSession, path: str) -> DataFrame:
     """Event log lines with the file they came from as the application."""
     return spark.read.text(path).select(F.input_file_name().alias("app"), "value")
@@ -59,9 +55,13 @@ def parse_events(lines: DataFrame, keys: list[str], value: str = "value", kinds:
 
     A line begins with its kind, so no other line is parsed, and those that are, for the fields of their kinds alone.
     """
-    fields = {f.strip().split("`")[1]: f.strip() for kind in kinds or EVENTS for f in _fields(EVENTS[kind])}
-    held = once(lines, [*keys, value], F.regexp_extract(value, _KIND, 1), "Event").where(F.col("Event").isin(*(kinds or EVENTS)))
-    return once(held, [*keys, "Event"], F.from_json(value, ", ".join(fields.values())), "e").select(*keys, "Event", "e.*")
+    kinds = kinds or list(EVENTS)
+    fields = {f.strip().split("`")[1]: f.strip() for kind in kinds for f in _fields(EVENTS[kind])}
+    known = F.lit(False)
+    for kind in kinds:
+        known = known | F.col(value).startswith(f'{{"Event":"{kind}"')
+    schema = ", ".join(["`Event` string", *fields.values()])
+    return once(lines.where(known), keys, F.from_json(value, schema), "e").select(*keys, "e.*")
 
 
 def _fields(schema: str) -> list[str]:
