@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import components, decontaminate, jaccard, packing, queries
@@ -121,6 +122,36 @@ def test_misses_of_a_round():
     assert jaccard.missed(4, jaccard.RUNS) <= 1 - jaccard.TARGET
 
 
+def test_a_partner_of_a_near_set_is_linked_to_the_pivot():
+    assert jaccard.lost_at_pivot() < 1e-4
+
+
+def boilerplate(count, pairs, seed):
+    """Texts of which 62 % is one passage; the last ``pairs`` repeat the first ones but for their last words."""
+    draw = random.Random(seed)
+    passage = " ".join(f"b{i}" for i in range(124))
+    own = [[f"u{draw.randrange(10 ** 9)}" for _ in range(76)] for _ in range(count)]
+    own += [[*words[:-8], *(f"z{draw.randrange(10 ** 9)}" for _ in range(8))] for words in own[:pairs]]
+    return [f"{passage} {' '.join(words)}" for words in own]
+
+
+def test_texts_of_one_template_part(spark, monkeypatch):
+    """A template gathers thousands of texts; few pairs are left to the exact check, and planted ones are found."""
+    exact, compared = jaccard.exact_links, []
+
+    def spied(gathered, wanted):
+        compared.extend(r.c * (r.c - 1) // 2 for r in wanted.groupBy("root").agg(F.count(F.lit(1)).alias("c")).collect())
+        return exact(gathered, wanted)
+
+    monkeypatch.setattr(jaccard, "exact_links", spied)
+    pairs, count = 200, 5800
+    docs = spark.createDataFrame(list(enumerate(boilerplate(count, pairs, 9))), "doc_id long, text string").repartition(8)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.join_documents(docs).where("n_links > 0").collect()}
+    assert sum(compared) < 50 * 6000
+    assert sum(got.get(count + i) == (i, 1) for i in range(pairs)) >= jaccard.TARGET * pairs
+    assert len(got) <= 2 * pairs
+
+
 def test_join_edges(spark):
     long = " ".join(f"w{i}" for i in range(60_000))
     rows = [(1, None), (2, ""), (3, "!!"), (4, "one two"), (5, "One, two!"), (6, long), (7, long + " end"), (None, "a b c d e f"),

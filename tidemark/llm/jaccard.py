@@ -11,15 +11,18 @@ enough to be linked to it as well, by the triangle inequality), and the rest is
 near copies costs one comparison each. Two sets linked to one pivot are gathered already, so a child bucket of such
 sets only is done.
 
-Estimated links only gather sets that may be similar. Inside each such gathering all pairs are checked exactly on their
-shingles, in blocks, and only sums and a spanning forest of links leave a task.
+Estimated links only gather sets that may be similar. A gathering of more than ``SMALL`` sets, such as the pages of one
+template, is split on by the shared tokens themselves: in any one order of its shingles, the first fifth of a set and
+one more hold a shingle of the first fifth of every partner's. The order puts first what a sample of the gathering
+seldom holds, so sets that share only a common passage part. Inside what stays together all pairs are checked exactly
+on their shingles, in blocks, and only sums and a spanning forest of links leave a task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
-from math import comb
+from math import ceil, comb
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +38,13 @@ THRESHOLD = 0.8  # of the exact Jaccard similarity, as 4 / 5 in whole numbers be
 COORDINATES = 64
 TARGET = 0.99  # recall of a pair at the threshold
 SMALL = 1024
-# Estimates from minhashes: candidates from here on; near the pivot from there on. A partner of a near set is at a
-# distance of at most (1 - NEAR) + (1 - THRESHOLD) = 0.5 from the pivot, and 1 - CANDIDATE leaves room for chance.
-CANDIDATE, NEAR = 0.4, 0.7
+# Estimates from minhashes: candidates from here on; near the pivot from there on. A set that agrees with the pivot on
+# NEAR of the minhashes and with a partner on k of them leaves the partner at least NEAR + k / COORDINATES - 1 of the
+# pivot's, so the partner misses CANDIDATE only by a chance that ``lost_at_pivot`` bounds.
+CANDIDATE, NEAR = 0.4, 0.8
+# Sample that orders the shingles of a large gathering, on average, and how often it has to hold a shingle that goes last.
+# Any order gives the same links, so the sample decides only how far the gathering splits.
+SAMPLE_SETS, SAMPLE_SHINGLES, OFTEN = 256, 1 << 20, 3
 # Shingles and sets of one block of the exact check, on average.
 BLOCK_SHINGLES, BLOCK_SETS = 1 << 20, 2048
 
@@ -68,6 +75,13 @@ def runs_needed(target: float = TARGET, depth: int = 4) -> int:
 RUNS = runs_needed()  # of one round; deeper paths take further rounds
 
 
+def lost_at_pivot() -> float:
+    """Largest chance that a partner of a set near the pivot is not linked to the pivot."""
+    near, candidate = ceil(NEAR * COORDINATES), ceil(CANDIDATE * COORDINATES)
+    return sum(comb(COORDINATES, k) * THRESHOLD ** k * (1 - THRESHOLD) ** (COORDINATES - k)
+               for k in range(candidate + COORDINATES - near))
+
+
 def _seeds(count: int, turn: int) -> tuple[np.ndarray, np.ndarray]:
     draw = np.random.default_rng(11 + turn)
     odd = draw.integers(0, 1 << 63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -374,6 +388,65 @@ def _exact(batches):
                     names=["node", "texts", "docs", "head"])
 
 
+def _rare(batches):
+    """The shingles by which a set meets its partners: the first fifth and one more, seldom ones of the gathering first.
+
+    The common shingles of a gathering come ahead of the sets of each of its shards, in a row without a node.
+    """
+    at, known, seen = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        root, shard = batch.column("root").to_numpy(), batch.column("shard").to_numpy()
+        nodes, often = batch.column("node").to_pylist(), batch.column("seen")
+        offsets, values = np.asarray(batch.column("shingles").offsets), np.asarray(batch.column("shingles").values)
+        buckets, owners = [], []
+        for r, node in enumerate(nodes):
+            if at != (root[r], shard[r]):
+                at, known, seen = (root[r], shard[r]), np.zeros(0, np.int64), np.zeros(0, np.int64)
+            own = values[offsets[r]:offsets[r + 1]]
+            if node is None:
+                known, seen = own.copy(), np.array(often[r].as_py(), np.int64)
+                continue
+            count = np.zeros(len(own), np.int64)
+            if len(known):
+                place = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                count = np.where(known[place] == own, seen[place], 0)
+            with np.errstate(over="ignore"):
+                spread = mix(own.view(np.uint64) + np.uint64(0x2545F4914F6CDD1D))
+                first = np.lexsort((own, spread, count))[:len(own) // 5 + 1]
+                buckets.append(mix(spread[first] ^ mix(root[r:r + 1].view(np.uint64))).view(np.int64))
+            owners.append(np.full(len(first), node, np.int64))
+        if owners:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(buckets)), pa.array(np.concatenate(owners))],
+                                             names=["bucket", "node"])
+
+
+def split_gatherings(gathered: DataFrame, large: DataFrame) -> DataFrame:
+    """``node, root``: the parts of large gatherings that may hold links; a set without a possible partner is left out.
+
+    ``gathered``: root, node, shingles; ``large``: root, c, s (sets and shingles) of the gatherings to split. Sets go to
+    one bucket for each of their rare shingles, and buckets that share sets make a part.
+    """
+    rows = gathered.join(large, "root").select("root", "node", "shingles", "c", "s")
+    sample = rows.where(f"pmod(xxhash64(node), greatest(c div {SAMPLE_SETS}, s div {SAMPLE_SHINGLES}) + 1) = 0")
+    common = (sample.select("root", F.explode("shingles").alias("v")).groupBy("root", "v").agg(F.count(F.lit(1)).alias("seen"))
+              .where(F.col("seen") >= OFTEN).groupBy("root")
+              .agg(F.sort_array(F.collect_list(F.struct("v", "seen"))).alias("known")))  # bounded: SAMPLE_SHINGLES / OFTEN
+    shards = f"cast((c - 1) div {BLOCK_SETS} AS int) + 1"
+    heads = (large.withColumn("shard", F.explode(F.expr(f"sequence(0, {shards} - 1)"))).join(common, "root")
+             .select("root", "shard", F.lit(None).cast("long").alias("node"), F.col("known.v").alias("shingles"),
+                     F.col("known.seen").alias("seen")))
+    body = rows.selectExpr("root", f"cast(pmod(xxhash64(node, 'shard'), {shards}) AS int) AS shard", "node", "shingles",
+                           "cast(null AS array<bigint>) AS seen")
+    dealt = (heads.unionAll(body).repartition(shuffle_count(gathered.sparkSession), "root", "shard")
+             .sortWithinPartitions("root", "shard", F.col("node").asc_nulls_first()))
+    met = kept(dealt.mapInArrow(_rare, "bucket bigint, node bigint"), "rare-shingles")
+    least = met.groupBy("bucket").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    links = met.join(least, "bucket").selectExpr("node AS a", "head AS b")
+    return components(links, "parts")
+
+
 def exact_links(gathered: DataFrame, wanted: DataFrame) -> DataFrame:
     """``node, texts, docs, head`` in parts to be summed.
 
@@ -432,8 +505,20 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
              .join(wanted.hint("shuffle_merge"), F.col("doc_id").eqNullSafe(F.col("rep"))).select("root", "node", "copies", "text"))
     if _repeats(members):  # with other texts, maybe: a row counts only if its own set is the one that is asked for
         texts = kept(texts.withColumn("own", node_of(texts)).where("own = node").drop("own").dropDuplicates(["node"]), "texts")
-    checked = kept(exact_links(_shingle_rows(texts), wanted), "links")
-    del texts
+    shingled = _shingle_rows(texts)
+    large = (wanted.groupBy("root").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s")).where(F.col("c") > SMALL))
+    if not large.isEmpty():
+        shingled, large = kept(shingled, "shingles"), kept(large, "large")
+        parts = split_gatherings(shingled, large)
+
+        def in_parts(rows: DataFrame) -> DataFrame:
+            whole = rows.join(large.select("root"), "root", "left_anti")
+            cut = rows.join(large.select("root"), "root", "left_semi").drop("root").join(parts, "node")
+            return whole.unionAll(cut.select(*whole.columns))
+
+        shingled, wanted = in_parts(shingled), in_parts(wanted)
+    checked = kept(exact_links(shingled, wanted), "links")
+    del texts, shingled
     release(docs.sparkSession)
     sums = checked.groupBy("node").agg(F.sum("texts").alias("texts"), F.sum("docs").alias("docs"))
     roots = components(checked.selectExpr("node AS a", "head AS b"), "classes")
