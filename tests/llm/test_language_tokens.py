@@ -78,9 +78,7 @@ def encoder():
 def library():
     from tokenizers import Tokenizer
 
-    out = Tokenizer.from_file(queries.tokenizer_file())
-    out.encode_special_tokens = True
-    return out
+    return Tokenizer.from_file(queries.tokenizer_file())
 
 
 def test_pieces_give_the_library_ids(encoder, library):
@@ -95,6 +93,14 @@ def test_pieces_give_the_library_ids(encoder, library):
         assert counts.tolist() == [len(w) for w in want]
 
 
+def test_names_of_added_tokens_are_cut_as_the_library_does(encoder, library):
+    texts = ["one <|endoftext|> two", "", "plain", "<|endoftext|>", "x<|endoftext|><|endoftext|> y " * 50, "<|endoftext", "end"]
+    ids, counts = encoder.encode(texts)
+    want = [library.encode(x, add_special_tokens=False).ids for x in texts]
+    assert library.token_to_id("<|endoftext|>") in want[0]
+    assert ids.tolist() == [i for w in want for i in w] and counts.tolist() == [len(w) for w in want]
+
+
 def digest_rows(library, docs):
     start, out = 0, []
     for doc_id, text in docs:

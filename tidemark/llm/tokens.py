@@ -46,7 +46,8 @@ class PieceEncoder:
     Before a space that a letter or digit follows, the word split of a byte-level vocabulary always cuts. Ids of a
     text are therefore those of the pieces between such places, one after the other. Pieces are told apart by 64-bit
     hashes, made for a whole block at once; the library's own model encodes every word of a new piece. Pieces of more
-    than ``LONG`` characters are always encoded anew, and a tokenizer of another kind encodes whole texts.
+    than ``LONG`` characters are always encoded anew. The library encodes whole texts for a tokenizer of another kind,
+    and those that hold the name of an added token, at which it cuts.
     """
 
     def __init__(self, text: str) -> None:
@@ -58,7 +59,7 @@ class PieceEncoder:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_str(text)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words = regex.compile(SPLIT).findall
         pre = self.tokenizer.pre_tokenizer
         self.by_piece = (type(self.tokenizer.model).__name__ == "BPE" and self.tokenizer.normalizer is None
@@ -107,9 +108,25 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the count of each."""
         if not self.by_piece:
-            lists = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-            counts = np.fromiter(map(len, lists), np.int64, len(lists))
-            return np.fromiter((i for x in lists for i in x), np.uint32, int(counts.sum())), counts
+            return self.by_library(texts)
+        named = [i for i, text in enumerate(texts) if any(name in text for name in self.added)]
+        if not named:
+            return self.by_pieces(texts)
+        rest = list(texts)
+        for i in named:
+            rest[i] = ""
+        ids, counts = self.by_pieces(rest)
+        own, sizes = self.by_library([texts[i] for i in named])
+        ids = np.insert(ids, np.repeat((np.cumsum(counts) - counts)[named], sizes), own)
+        counts[named] = sizes
+        return ids, counts
+
+    def by_library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lists = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter((i for x in lists for i in x), np.uint32, int(counts.sum())), counts
+
+    def by_pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         codes, starts = text_codes(pa.array(texts, pa.string()))
         if not len(codes):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
