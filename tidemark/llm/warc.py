@@ -189,9 +189,8 @@ def write_archives(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYT
                     make_record(page_id, url, html.encode("utf-8", "surrogatepass"), head, revisit)))
             yield pa.RecordBatch.from_pydict({"value": pa.array(frames, pa.binary())})
 
-    dealt = (keyed.join(heads, ["sha", "n"], "left").select("page_id", "url", "html", "head", "sha")
-             .repartition(max(1, -(-int(total) // archive_bytes)), "page_id", "sha")
-             .select("page_id", "url", "html", "head"))
+    dealt = (keyed.join(heads, ["sha", "n"], "left").select("page_id", "url", "html", "head")
+             .repartition(max(1, -(-int(total) // archive_bytes))))  # in turn, so rows that repeat spread as well
     (dealt.mapInArrow(pack, "value binary").select(F.col("value").cast("string").alias("value"))
      .write.option("lineSep", SEPARATOR).text(path))
 
