@@ -52,6 +52,15 @@ def test_warc_edges_and_whole_payloads(spark):
     assert warc.read_archives(spark, path).count() == 0
 
 
+def test_rows_that_repeat_spread_over_archives(spark):
+    pages = spark.createDataFrame([(1, "u", "x" * 1000)] * 200, "page_id long, url string, html string")
+    path = scratch_path(spark, "warc-test")
+    warc.write_archives(pages, path, archive_bytes=20_000)
+    files = spark.read.format("binaryFile").load(path).select("content").collect()
+    counts = [sum(1 for _ in warc.read_archive(bytes(f.content))) for f in files]
+    assert sum(counts) == 200 and max(counts) <= 60
+
+
 def test_archives_are_plain_zstandard_with_a_leading_dictionary(spark):
     import glob
 
@@ -120,6 +129,17 @@ def test_codes_are_selective(spark):
     assert (high >= kth[:, None]).mean() < 0.2
 
 
+def test_search_in_double_precision_and_every_dimension(spark):
+    tiny = 1e-60
+    rows = [(0, [0.1, 0.2]), (1, [0.1000000000001, 0.2]), (2, [tiny, tiny]), (3, [1.0, 2.0, 3.0]), (20, [1.0, 0.0, 0.0]),
+            (40, [tiny, 0.0]), (5, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in ann.nearest(df, "vec_id % 20 = 0", k=2).collect()}
+    assert got == {(0, 1): (1, 0.1 * 0.1000000000001 + 0.2 * 0.2), (0, 2): (2, 0.1 * tiny + 0.2 * tiny), (20, 1): (3, 1.0),
+                   (40, 1): (1, 0.1000000000001 * tiny), (40, 2): (0, 0.1 * tiny)}
+    assert ann.nearest(df.where("false"), "vec_id % 20 = 0").count() == 0
+
+
 def test_search_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]),

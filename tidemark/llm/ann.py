@@ -9,6 +9,7 @@ bound reaches the k-th best inner product known so far, which the vectors of the
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ QUERY_BLOCK = 4096
 # Vectors that a task compares with all queries of a block at once.
 CODE_BLOCK = 4096
 
-CODES = "vec_id bigint, bits binary, norm double, fit double, vector array<float>"
+CODES = "vec_id bigint, bits binary, norm double, fit double, vector array<{}>"
 
 
 def rotation(dimension: int, seed: int = 7) -> np.ndarray:
@@ -37,8 +38,12 @@ def rotation(dimension: int, seed: int = 7) -> np.ndarray:
 
 
 def usable(df: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """Id and vector of rows that take part: not null, not zero, all components finite, of the commonest dimension."""
-    rows = (df.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).alias("vector"))
+    """Id and vector of rows that take part: not null, not zero, all components finite.
+
+    Components stay floats where the column has floats; others become doubles.
+    """
+    kind = "float" if df.schema[vector_column].dataType.elementType.typeName() == "float" else "double"
+    rows = (df.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).cast(f"array<{kind}>").alias("vector"))
             .where("vec_id is not null and vector is not null")
             .where("forall(vector, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))")
             .where("exists(vector, x -> x <> 0)"))
@@ -50,10 +55,15 @@ def common_dimension(rows: DataFrame) -> int:
     return found.d if found else 0
 
 
-def build_index(df: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding") -> tuple[DataFrame, int]:
-    """Codes of every usable row, with the vector for reranking, and the dimension. Nothing is fitted."""
+def build_index(df: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding",
+                dimension: int | None = None) -> tuple[DataFrame, int]:
+    """Codes of every usable row of one dimension (the commonest), with the vector for reranking, and that dimension.
+
+    Nothing is fitted.
+    """
     rows = usable(df, id_column, vector_column)
-    dimension = common_dimension(rows)
+    kind = rows.schema["vector"].dataType.elementType.typeName()
+    dimension = common_dimension(rows) if dimension is None else dimension
     rows = rows.where(F.size("vector") == dimension)
     turn = rotation(dimension) if dimension else None
 
@@ -69,17 +79,17 @@ def build_index(df: DataFrame, id_column: str = "vec_id", vector_column: str = "
             bits = np.packbits(turned > 0, axis=1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("vec_id"), pa.array([b.tobytes() for b in bits], pa.binary()), pa.array(norm),
-                 pa.array(fit), batch.column("vector").cast(pa.list_(pa.float32()))],
+                 pa.array(fit), batch.column("vector")],
                 names=["vec_id", "bits", "norm", "fit", "vector"])
 
-    rows = rows.select("vec_id", F.col("vector").cast("array<float>").alias("vector"))
-    return kept(rows.mapInArrow(encode, CODES), "ann-codes"), dimension
+    return kept(rows.mapInArrow(encode, CODES.format(kind)), "ann-codes"), dimension
 
 
 def bounds(codes: np.ndarray, norm: np.ndarray, fit: np.ndarray, queries: np.ndarray, turn: np.ndarray):
     """Lower and upper bounds of the inner products, one row a query."""
     signs = np.where(np.unpackbits(codes, axis=1, count=turn.shape[0]), 1.0, -1.0).astype(np.float32)
-    size = np.sqrt((queries ** 2).sum(axis=1))
+    largest = np.abs(queries).max(axis=1)
+    size = np.sqrt(((queries / largest[:, None]) ** 2).sum(axis=1)) * largest
     turned = ((queries / size[:, None]) @ turn.T / math.sqrt(turn.shape[0])).astype(np.float32)
     estimate = (turned @ signs.T) / fit
     error = BOUND * np.sqrt(np.maximum(0, 1 - fit ** 2)) / fit / math.sqrt(turn.shape[0] - 1)
@@ -87,6 +97,20 @@ def bounds(codes: np.ndarray, norm: np.ndarray, fit: np.ndarray, queries: np.nda
     return (estimate - error) * scale, (estimate + error) * scale
 
 
+def nearest(df: DataFrame, wanted: str, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
+    """``search`` of the rows of ``df`` that ``wanted`` (SQL on ``vec_id``) names, among all rows of their dimension.
+
+    Vectors of different dimensions have no inner product, so each dimension has an index of its own. A query whose
+    id repeats in several dimensions has a list in each.
+    """
+    sizes = usable(df, id_column, vector_column).groupBy(F.size("vector").alias("d")).count().orderBy("d").collect()
+    found = []
+    for dimension in [r.d for r in sizes] or [0]:  # one row a dimension
+        index, _ = build_index(df, id_column, vector_column, dimension)
+        found.append(search(index, dimension, index.where(wanted).select("vec_id", "vector"), k))
+    return reduce(DataFrame.unionAll, found)
+
+
 def search(index: DataFrame, dimension: int, queries: DataFrame, k: int = 20) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` nearest of every query row (vec_id, vector).
 

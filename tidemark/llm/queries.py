@@ -102,8 +102,7 @@ def op9_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_one_bit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every vector whose id is divisible by 20."""
-    index, dimension = ann.build_index(table(spark, sf_dir, "embeddings"))
-    return ann.search(index, dimension, index.where("vec_id % 20 = 0").select("vec_id", "vector")).select(
+    return ann.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0").select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
