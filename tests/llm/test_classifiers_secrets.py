@@ -103,7 +103,7 @@ def test_base_spans_match_plain_search(spark):
              "\n", "passwordpassword", "abcdefgh"]
     texts = HARD + ["".join(random.choice(parts) for _ in range(random.randint(1, 14))) for _ in range(400)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr(
-        "*", "1 AS m", "2 AS f", "3 AS spans0", "'r' AS row")
+        "*", "1 AS m", "2 AS f", "3 AS spans0", "'r' AS row", "4 AS SPANS")
     rows = secret_scan.found_spans(df).collect()
     for r in rows:
         want = plain(r.text or "")

@@ -341,6 +341,16 @@ def test_pipeline_stages_take_effect(spark):
     check_packing(packed.collect(), [(r.doc_id, len(r.text.encode()) + 1) for r in safe.collect()], packing.CAPACITIES)
 
 
+def test_stages_keep_columns_that_clash(spark):
+    docs = spark.createDataFrame([(1, "x token=0123456789abcdef0123456789abcdef y"), (2, None)], "doc_id long, text string")
+    docs = docs.selectExpr("*", "7 AS spans", "8 AS Spans_", "9 AS hits")
+    stage = dict(corpus_pipeline.STAGES)
+    clean = stage["benchmark decontamination"](spark, docs, SF_DIR)
+    safe = stage["secret scans"](spark, clean, SF_DIR)
+    assert safe.columns == docs.columns
+    assert sorted(tuple(r) for r in safe.collect()) == [(1, "x [secret] y", 7, 8, 9), (2, None, 7, 8, 9)]
+
+
 def test_pipeline_runs_on_empty_tables(spark, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         table(spark, SF_DIR, name).where("false").write.parquet(f"{tmp_path}/{name}.parquet")

@@ -119,11 +119,11 @@ def _bin(token: str, mean: float) -> str:
 
 
 def found_spans(docs: DataFrame, text_column: str = "text", rate: float = RATE,
-                keep: list[str] | None = None) -> DataFrame:
-    """Columns of ``docs`` (``keep``: only these) and ``spans``, an array of (s, k, e, kind) by start, then kind; ends are exclusive.
+                keep: list[str] | None = None, into: str = "spans") -> DataFrame:
+    """Columns of ``docs`` (``keep``: only these) and ``into``, an array of (s, k, e, kind) by start, then kind; ends are exclusive.
 
     Null text is empty. Works per row, so repeated rows and ids do not matter. An empty table stays empty. Clashes
-    with existing columns are avoided by keeping the row in one struct meanwhile.
+    with existing columns are avoided by keeping the row in one struct meanwhile; a column named ``into`` is replaced.
     """
     source = docs.select(F.struct(*(keep or ["*"])).alias("row"),
                          F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
@@ -152,7 +152,8 @@ def found_spans(docs: DataFrame, text_column: str = "text", rate: float = RATE,
                 least = b
     added = F.expr(f"""transform(filter(tested, c -> c.fits AND {_bin('c', mean)} >= {least}),
         c -> named_struct('s', c.s, 'k', 3, 'e', c.e, 'kind', '{KINDS[3]}'))""")
-    return rows.select("row.*", F.array_sort(F.concat("assign", "access", "hex", added)).alias("spans"))
+    others = [F.col("row")[c].alias(c) for c in keep or docs.columns if c.lower() != into.lower()]
+    return rows.select(*others, F.array_sort(F.concat("assign", "access", "hex", added)).alias(into))
 
 
 def span_text(spans: Column | str) -> Column:
