@@ -10,15 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, jaccard, packing, quality, secret_scan
-from tidemark.llm.common import kept, table
+from tidemark.llm.common import free_name, kept, table
 from tidemark.llm.queries import packing_length
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts.
+
+    Each row is judged by its text, null as empty, so rows that repeat stay or go together; no other column matters.
+    """
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    scored = docs.withColumn("__score", quality.score_of(docs, model))
-    return scored.where(F.col("__score") >= quality.ACCEPT).drop("__score")
+    score = free_name(docs, "score")
+    scored = docs.withColumn(score, quality.score_of(docs, model))
+    return scored.where(F.col(score) >= quality.ACCEPT).drop(score)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,16 +31,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
-    found = docs.withColumn("__hits", decontaminate.matches(docs, table(spark, sf_dir, "benchmark")))
-    return found.where(F.size("__hits") == 0).drop("__hits")
+    """Documents without a benchmark passage; null texts hold none, rows that repeat stay or go together."""
+    hits = free_name(docs, "hits")
+    found = docs.withColumn(hits, decontaminate.matches(docs, table(spark, sf_dir, "benchmark")))
+    return found.where(F.size(hits) == 0).drop(hits)
 
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each secret replaced by a mark; ``n_chars`` follows where the text changed."""
-    found = secret_scan.found_spans(docs)
-    some = F.size("spans") > 0
-    changed = found.withColumn("text", F.when(some, secret_scan.redacted()).otherwise(F.col("text")))
+    spans = free_name(docs, "spans")
+    found = secret_scan.found_spans(docs, into=spans)
+    some = F.size(spans) > 0
+    changed = found.withColumn("text", F.when(some, secret_scan.redacted(spans=spans)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         changed = changed.withColumn("n_chars", F.when(some, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
