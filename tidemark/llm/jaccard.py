@@ -38,10 +38,10 @@ THRESHOLD = 0.8  # of the exact Jaccard similarity, as 4 / 5 in whole numbers be
 COORDINATES = 64
 TARGET = 0.99  # recall of a pair at the threshold
 SMALL = 1024
-# Estimates from minhashes: candidates from here on; near the pivot from there on. A set that agrees with the pivot on
-# NEAR of the minhashes and with a partner on k of them leaves the partner at least NEAR + k / COORDINATES - 1 of the
-# pivot's, so the partner misses CANDIDATE only by a chance that ``lost_at_pivot`` bounds.
-CANDIDATE, NEAR = 0.4, 0.8
+# Estimates from minhashes: candidates from here on; near the pivot from there on; linked to the pivot from the last on.
+# A set that agrees with the pivot on NEAR of the minhashes and with a partner on k of them leaves the partner at least
+# NEAR + k / COORDINATES - 1 of the pivot's, so the partner misses LINKED only by a chance that ``lost_at_pivot`` bounds.
+CANDIDATE, NEAR, LINKED = 0.4, 0.7, 0.3
 # Sample that orders the shingles of a large gathering, on average, and how often it has to hold a shingle that goes last.
 # Any order gives the same links, so the sample decides only how far the gathering splits.
 SAMPLE_SETS, SAMPLE_SHINGLES, OFTEN = 256, 1 << 20, 3
@@ -77,9 +77,9 @@ RUNS = runs_needed()  # of one round; deeper paths take further rounds
 
 def lost_at_pivot() -> float:
     """Largest chance that a partner of a set near the pivot is not linked to the pivot."""
-    near, candidate = ceil(NEAR * COORDINATES), ceil(CANDIDATE * COORDINATES)
+    near, linked = ceil(NEAR * COORDINATES), ceil(LINKED * COORDINATES)
     return sum(comb(COORDINATES, k) * THRESHOLD ** k * (1 - THRESHOLD) ** (COORDINATES - k)
-               for k in range(candidate + COORDINATES - near))
+               for k in range(linked + COORDINATES - near))
 
 
 def _seeds(count: int, turn: int) -> tuple[np.ndarray, np.ndarray]:
@@ -266,7 +266,7 @@ def _compare_pivot(batches):
         like = (sig == _matrix(batch.column("pivot_sig"))).mean(axis=1)
         bucket = batch.column("bucket").to_numpy()
         stay = np.flatnonzero((like < NEAR) & (node != pivot))
-        rows = [(node[i], pivot[i], None, None) for i in np.flatnonzero((like >= CANDIDATE) & (node != pivot)).tolist()]
+        rows = [(node[i], pivot[i], None, None) for i in np.flatnonzero((like >= LINKED) & (node != pivot)).tolist()]
         for on, child in children(bucket[stay], sig[stay]):
             linked = (like[stay[on]] >= CANDIDATE).tolist()
             rows += [(n, None, c, on_pivot) for n, c, on_pivot in zip(node[stay[on]].tolist(), child.tolist(), linked, strict=True)]
