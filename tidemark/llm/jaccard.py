@@ -11,7 +11,7 @@ enough to be linked to it as well, by the triangle inequality), and the rest is
 near copies costs one comparison each. Two sets linked to one pivot are gathered already, so a child bucket of such
 sets only is done.
 
-Estimated links only gather sets that may be similar. A gathering of more than ``SMALL`` sets, such as the pages of one
+Estimated links only gather sets that may be similar. A gathering of more than ``SPLIT_SETS`` sets, such as the pages of one
 template, is split on by the shared tokens themselves: in any one order of its shingles, the first fifth of a set and
 one more hold a shingle of the first fifth of every partner's. The order puts first what a sample of the gathering
 seldom holds, so sets that share only a common passage part. Inside what stays together all pairs are checked exactly
@@ -41,7 +41,9 @@ SMALL = 1024
 # Estimates from minhashes: candidates from here on; near the pivot from there on; linked to the pivot from the last on.
 # A set that agrees with the pivot on NEAR of the minhashes and with a partner on k of them leaves the partner at least
 # NEAR + k / COORDINATES - 1 of the pivot's, so the partner misses LINKED only by a chance that ``lost_at_pivot`` bounds.
-CANDIDATE, NEAR, LINKED = 0.4, 0.7, 0.3
+CANDIDATE, NEAR, LINKED = 0.4, 0.7, 0.28
+# Gatherings of more sets than this are split before the exact check; up to it, a few blocks of pairs cost less.
+SPLIT_SETS = 4096
 # Sample that orders the shingles of a large gathering, on average, and how often it has to hold a shingle that goes last.
 # Any order gives the same links, so the sample decides only how far the gathering splits.
 SAMPLE_SETS, SAMPLE_SHINGLES, OFTEN = 256, 1 << 20, 3
@@ -506,7 +508,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     if _repeats(members):  # with other texts, maybe: a row counts only if its own set is the one that is asked for
         texts = kept(texts.withColumn("own", node_of(texts)).where("own = node").drop("own").dropDuplicates(["node"]), "texts")
     shingled = _shingle_rows(texts)
-    large = (wanted.groupBy("root").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s")).where(F.col("c") > SMALL))
+    large = (wanted.groupBy("root").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s")).where(F.col("c") > SPLIT_SETS))
     if not large.isEmpty():
         shingled, large = kept(shingled, "shingles"), kept(large, "large")
         parts = split_gatherings(shingled, large)
