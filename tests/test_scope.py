@@ -104,6 +104,17 @@ def test_user_functions_and_filter(spark, rows):
         (1, "a"), (1, "b"), (2, "c")]
 
 
+def test_a_flat_map_gets_its_texts_in_bounded_slices(spark):
+    """Long texts of one batch: no slice holds much more than the bound, and every text comes out once."""
+    texts = spark.range(0, 120, 1, 1).selectExpr("id", "if(id % 40 = 7, null, repeat('ab ', 20000)) AS text")
+    taken = transforms.flat_map_values(texts, lambda s: s.map(lambda _: [s.str.len().sum()]), "text", "held", "long", ["id"]).collect()
+    assert sorted(r["id"] for r in taken) == list(range(120))
+    assert 0 < max(r["held"] for r in taken) <= transforms.SLICE_BYTES + 60_000
+    short = spark.range(0, 9000, 1, 1).selectExpr("id", "cast(id AS string) AS text")
+    flat = transforms.flat_map_values(short, lambda s: s.map(lambda t: [t, t]), "text", "item", "string", ["id"])
+    assert flat.count() == 18_000 and flat.where("item <> cast(id AS string)").isEmpty()
+
+
 def stage_event(stage, start, end):
     return (f'{{"Event":"SparkListenerStageCompleted","Stage Info":{{"Stage ID":{stage},"Stage Attempt ID":0,"Number of Tasks":1,'
             f'"Submission Time":{start},"Completion Time":{end}}}}}')

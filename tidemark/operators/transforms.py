@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -13,6 +15,10 @@ from pyspark.sql import functions as F
 
 Transform = Callable[[DataFrame], DataFrame]
 
+# Bytes of the values whose lists a worker holds at once, and bytes that a value counts at least.
+SLICE_BYTES = 1 << 20
+VALUE_BYTES = 1 << 10
+
 # The storage levels in use.
 LEVELS = {
     "MEMORY_ONLY": StorageLevel.MEMORY_ONLY,
@@ -40,8 +46,18 @@ def filter_rows(df: DataFrame, fn: Callable[[pd.Series], pd.Series], column: str
 
 def flat_map_values(df: DataFrame, fn: Callable[[pd.Series], pd.Series], column: str, name: str, kind: str,
                     keep: Sequence[str] = ()) -> DataFrame:
-    """One row per item of the list that a user function gives for each value; ``kind`` is the item's type."""
-    return df.select(*keep, F.explode(F.pandas_udf(fn, f"array<{kind}>")(column)).alias(name))
+    """One row per item of the list that a user function gives for each value; ``kind`` is the item's type.
+
+    Lists of Python objects take many times the bytes of a value, so the function gets a batch in slices of about
+    ``SLICE_BYTES``.
+    """
+    def lists(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for values in batches:
+            taken = np.cumsum([max(sys.getsizeof(v), VALUE_BYTES) for v in values]) // SLICE_BYTES
+            for _, part in values.groupby(taken, sort=False):
+                yield fn(part.reset_index(drop=True))
+
+    return df.select(*keep, F.explode(F.pandas_udf(lists, f"array<{kind}>")(column)).alias(name))
 
 
 def flat_map_rows(df: DataFrame, items: Column, name: str, keep: Sequence[str] = ()) -> DataFrame:
