@@ -255,6 +255,21 @@ def test_committed_rows_come_out_over_batches_and_a_restart(spark, folder, rows)
     assert rows(whole) == rows(P.read_committed(log), *log.columns) and 50 < whole.count() < 400
 
 
+def test_producers_share_a_group_and_numbers_keep_their_digits(spark, folder, rows):
+    """Many producers in two groups: a call serves many, and null numbers cost others no digit."""
+    log = spark.range(300).selectExpr(
+        "'t' AS topic", "cast(id % 2 AS int) AS partition", "id AS offset", "id % 30 AS producer_id", "true AS is_transactional",
+        "CASE WHEN id % 70 > 45 THEN if(id % 3 = 0, 'ABORT', 'COMMIT') END AS control", "if(id % 4 = 1, null, 9007199254740993 + id) AS num")
+    files = B.prepare_batches(log, "offset", f"{folder}/in", 2, 299)
+    stream = B.batch_stream(spark, f"{folder}/in", log.withColumn("batch_key", F.lit(0)).schema, files).drop("batch_key")
+    with transactions.keyed_state(spark):
+        reports = runs.run_batches(transactions.read_committed_stream(stream, buckets=2), lambda d, i: d.write.mode(
+            "overwrite").parquet(f"{folder}/out/batch_id={i}"), f"{folder}/cp")
+    whole = spark.read.schema(log.schema).parquet(f"{folder}/out").drop("batch_id")
+    assert rows(whole) == rows(P.read_committed(log), *log.columns) and whole.count() > 50
+    assert len([p for p in reports if p["numInputRows"]]) == 2
+
+
 def test_a_transaction_without_an_end_times_out(spark, folder):
     def part(i, rows):
         spark.createDataFrame([("t", 0, o, 1, True, c) for o, c in rows],

@@ -18,6 +18,10 @@ from tidemark.session import by_value
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _KEYS = [*TP, "producer_id"]
+_BUCKET, _WHO, _SEEN = "__bucket", "__who", "__seen"
+
+# Groups of producers, whatever their number: about 1000 calls a batch.
+BUCKETS = 1024
 
 
 @contextmanager
@@ -35,9 +39,11 @@ def keyed_state(spark: SparkSession) -> Iterator[None]:
 
 
 class OpenTransactions(StatefulProcessor):
-    """Holds the rows of each producer's open transaction; a commit marker lets them out, an abort marker drops them.
+    """Holds the rows of open transactions, many producers in a group; a commit marker lets a producer's rows out, an abort
+    marker drops them.
 
-    With ``timeout_ms`` a transaction that gets no row and no marker for so long counts as aborted.
+    Work is done on the whole group at once: a call for each producer costs many times what its few rows do. With
+    ``timeout_ms`` a transaction that gets no row and no marker for so long counts as aborted.
     """
 
     def __init__(self, schema: T.StructType, timeout_ms: int | None) -> None:
@@ -45,55 +51,78 @@ class OpenTransactions(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", self.schema)
+        self.rows = handle.getListState("rows", T.StructType([*self.schema, T.StructField(_SEEN, T.LongType())]))
 
     def handleInputRows(self, key, rows, timerValues):
         names = self.schema.names
-        parts = [pdf[names] for pdf in rows]
-        if self.rows.exists():
-            parts.insert(0, pd.DataFrame(list(self.rows.get()), columns=names))
-        table = pd.concat(parts, ignore_index=True).sort_values("offset", kind="stable", ignore_index=True)
-        markers = np.flatnonzero(table["control"].notna())
-        until = markers[-1] + 1 if len(markers) else 0
-        done = table.iloc[:until]
-        ends = markers[np.searchsorted(markers, np.arange(until))] if until else markers
-        visible = (done["control"].isna() & (table["control"].iloc[ends].to_numpy() == COMMIT)).to_numpy(dtype=bool)
-        left = table.iloc[until:]
+        now = 0 if self.timeout_ms is None else timerValues.getCurrentProcessingTimeInMs()
+        parts = [pdf[names].assign(**{_SEEN: now}) for pdf in rows]
+        held = self._held()
+        if len(held):
+            parts.insert(0, held)
+        table = pd.concat(parts, ignore_index=True)
+        table[_WHO] = table.groupby(_KEYS, dropna=False, sort=False).ngroup()
+        # A row puts off the time of its whole transaction; one that is late and got none is over.
+        table[_SEEN] = table.groupby(_WHO)[_SEEN].transform("max")
         if self.timeout_ms is not None:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
+            table = table[table[_SEEN] > now - self.timeout_ms]
+        table = table.sort_values([_WHO, "offset"], kind="stable", ignore_index=True)
+        who, control = table[_WHO].to_numpy(), table["control"].to_numpy(dtype=object)
+        inside = table["control"].isna().to_numpy()
+        markers = np.flatnonzero(~inside)
+        # The next marker of each row; the row beyond the last marker belongs to nobody.
+        after = np.append(markers, len(table))[np.searchsorted(markers, np.arange(len(table)))]
+        done = np.append(who, -1)[after] == who
+        visible = done & inside & (np.append(control, None)[after] == COMMIT)
+        self._hold(table[~done])
+        if visible.any():
+            yield table.loc[visible, names]
+
+    def _held(self) -> pd.DataFrame:
+        names = [*self.schema.names, _SEEN]
+        return pd.DataFrame(list(self.rows.get()) if self.rows.exists() else [], columns=names)
+
+    def _hold(self, left: pd.DataFrame) -> None:
+        """Keep these rows only, with a timer for the first transaction that will be late."""
+        left = left[[*self.schema.names, _SEEN]]
         if len(left):
             self.rows.put(list(left.astype(object).where(left.notna(), None).itertuples(index=False, name=None)))
-            if self.timeout_ms is not None:
-                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms)
         else:
             self.rows.clear()
-        if visible.any():
-            yield done[visible].assign(**dict(zip(_KEYS, key, strict=True)))[[*_KEYS, *names]]
+        if self.timeout_ms is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            if len(left):
+                self.handle.registerTimer(int(left[_SEEN].min()) + self.timeout_ms)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.rows.clear()
+        held = self._held()
+        self._hold(held[held[_SEEN] > timerValues.getCurrentProcessingTimeInMs() - self.timeout_ms])
         return iter([])
 
     def close(self) -> None:
         pass
 
 
-def read_committed_stream(log: DataFrame, timeout_ms: int | None = None) -> DataFrame:
+def read_committed_stream(log: DataFrame, timeout_ms: int | None = None, buckets: int = BUCKETS) -> DataFrame:
     """The rows that ``operators.positions.read_committed`` gives, each as soon as it is visible.
 
     Rows outside transactions come at once, those of a transaction with its commit marker. Offsets of a partition have to
     arrive in order of batches; inside a batch any order will do. Start the query inside ``keyed_state``. With ``timeout_ms``
-    the clock makes batches too, so such a query goes on until it is stopped.
+    the clock makes batches too, so such a query goes on until it is stopped. Producers are dealt out to ``buckets`` groups;
+    a task holds the rows that a group has in a batch and its open ones, and a checkpoint is bound to the number.
     """
     plain = log.where(~F.col("is_transactional") & F.col("control").isNull())
-    inside = log.where("is_transactional")
-    held = T.StructType([f for f in log.schema if f.name not in _KEYS])
-    out = T.StructType([*(log.schema[k] for k in _KEYS), *held])
-    freed = inside.groupBy(*_KEYS).transformWithStateInPandas(
-        statefulProcessor=OpenTransactions(held, timeout_ms), outputStructType=out, outputMode="Append",
+    # Numbers that may be null go as text: pandas would make doubles of them, and with that lose digits.
+    exact = {f.name: f.dataType for f in log.schema if isinstance(f.dataType, T.NumericType) and f.name != "offset"}
+    inside = log.where("is_transactional").select(
+        *[F.col(c).cast("string").alias(c) if c in exact else F.col(c) for c in log.columns],
+        F.pmod(F.xxhash64(*_KEYS), F.lit(buckets)).alias(_BUCKET))
+    held = T.StructType([f for f in inside.schema if f.name != _BUCKET])
+    freed = inside.groupBy(_BUCKET).transformWithStateInPandas(
+        statefulProcessor=OpenTransactions(held, timeout_ms), outputStructType=held, outputMode="Append",
         timeMode="None" if timeout_ms is None else "ProcessingTime")
-    return plain.unionByName(freed.select(*log.columns))
+    return plain.unionByName(freed.select(*[F.col(c).cast(exact[c]).alias(c) if c in exact else F.col(c) for c in log.columns]))
 
 
 by_value(__name__)
