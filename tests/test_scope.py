@@ -132,6 +132,34 @@ def test_means_follow_completion_and_count_ended_jobs(spark):
     assert jobs == {1: (10_000.0, 10_000.0), 2: (200.0, 5100.0)}
 
 
+def test_rates_parse_a_line_once_and_agree_with_a_loop(spark):
+    """Both rates read stored events; jobs that end together, failed ones and two applications as a loop has them."""
+    ends = [(100 + j // 3 * 10, j) for j in range(40)]
+    done = [(100 + s % 20 * 10, s) for s in range(40)]
+    lines = ['{"Event":"SparkListenerJobStart","Job ID":%d,"Submission Time":0}' % j for _, j in ends]
+    lines += ['{"Event":"SparkListenerJobEnd","Job ID":%d,"Completion Time":%d,"Job Result":{"Result":"%s"}}' % (
+        j, at, "JobSucceeded" if j % 4 else "JobFailed") for at, j in ends]
+    lines += [stage_event(s, 0, at) for at, s in done]
+    parsed = M.parse_events(spark.createDataFrame([(a, x) for a in "ab" for x in lines], "app string, value string"), ["app"])
+    events = M.stored_events(parsed)
+    assert "from_json" in parsed._jdf.queryExecution().toString() and "from_json" not in events._jdf.queryExecution().toString()
+
+    def loop(items, ended):
+        out, seen = {}, []
+        for place, (at, number) in enumerate(items):
+            if ended(place, at) > 5:
+                seen.append(round(1e6 / at, 2))
+            out[number] = sum(seen[-3:]) / len(seen[-3:]) if seen else 0.0
+        return out
+    stages = loop(sorted(done), lambda place, at: sum(e < at for e, _ in ends))
+    good = [e for e in ends if e[1] % 4]
+    jobs = loop(good, lambda place, at: ends.index(good[place]) + 1)
+    for got, number, want in ((M.stage_rates(events, ["app"], 1000, 1.0, 2, 5), "stage_id", stages),
+                              (M.job_rates(events, ["app"], 1000, 1.0, 2, 5), "job_id", jobs)):
+        means = {(r["app"], r[number]): r["mean_rate"] for r in got.collect()}
+        assert means == pytest.approx({(a, k): v for a in "ab" for k, v in want.items()}, abs=0.00051)
+
+
 def test_lag_up_to_the_last_stable_offset(spark, rows):
     ends = spark.createDataFrame([("t", 0, 10, 6), ("t", 1, 8, 8)], "topic string, partition int, high_watermark long, last_stable long")
     at = spark.createDataFrame([("t", 0, 4), ("t", 1, 8), ("t", 2, 1)], "topic string, partition int, offset long")

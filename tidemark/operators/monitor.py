@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import half_up, once, rate_per_second
 from tidemark.operators.sampling import SAMPLE_WINDOW_MS, SAMPLES
-from tidemark.operators.windows import moving_average
+from tidemark.operators.windows import dense_mean
 from tidemark.plans.ordering import CHUNK_ROWS, dense_index, id_chunk, range_chunks, running_sum
+from tidemark.session import scratch_path
 
 # Codes of task types, bytes of a MiB, milliseconds per unit.
 TASK_TYPES = {"resulttask": 0, "shufflemaptask": 1}
@@ -64,6 +65,13 @@ def parse_events(lines: DataFrame, keys: list[str], value: str = "value", kinds:
     return once(lines.where(known), keys, F.from_json(value, schema), "e").select(*keys, "e.*")
 
 
+def stored_events(events: DataFrame) -> DataFrame:
+    """The same events from a scratch table: where several figures read them, no line is parsed twice."""
+    path = scratch_path(events.sparkSession, "events")
+    events.write.parquet(path)
+    return events.sparkSession.read.schema(events.schema).parquet(path)
+
+
 def _fields(schema: str) -> list[str]:
     """Top-level fields of a schema text."""
     out, depth = [""], 0
@@ -174,21 +182,25 @@ def _means_after_warmup(rows: DataFrame, job_ends: DataFrame | None, keys: list[
     values. Rows of the warm-up show 0.0 and enter no mean. A stage or task counts before a job that ends in the same ms.
     """
     values = [c for c in rows.columns if c not in (*keys, "at", "id")]
-    marked = rows.select(*keys, "at", "id", F.struct(*values).alias("row"), F.lit(0).alias("side"),
+    usable = F.col(next(iter(means.values()))).isNotNull()
+    marked = rows.select(*keys, "at", "id", F.when(usable, F.struct(*values)).alias("row"), F.lit(0).alias("side"),
                          F.lit(1 if job_ends is None else 0).alias("ended"))
     if job_ends is not None:
         marked = marked.unionByName(job_ends.select(*keys, "at", "id", F.lit(1).alias("side"), F.lit(1).alias("ended")),
                                     allowMissingColumns=True)
     # Ranges of the completion order, so that a busy hour is cut as any other.
     marked = range_chunks(marked.withColumn("place", F.struct("at", "side", "id")), [*keys, "place"], "__range")
-    counted = running_sum(marked, keys, "place", "ended", "__range", "jobs").where("row is not null").select(
-        *keys, "at", "place", "jobs", "__range", "row.*")
-    counted = counted.where(F.col(next(iter(means.values()))).isNotNull())
-    late = dense_index(counted.where(F.col("jobs") > warmup), keys, "place", "__range", "__n")
+    # Where the warm-up ends: the place of the job after it. A rank filter keeps that many rows a key from each task.
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("place"))
+    start = marked.where("ended = 1").select(*keys, "place").withColumn("__nth", nth).where(
+        F.col("__nth") == warmup + 1).select(*keys, F.col("place").alias("__start"))
+    rows = marked.where("row is not null").select(*keys, "place", "__range", "row.*").join(start, keys, "left")
+    warm = F.coalesce(F.col("place") >= F.col("__start"), F.lit(False))
+    late = dense_index(rows.where(warm).drop("__start"), keys, "place", "__range", "__n")
     for name, value in means.items():
-        late = moving_average(late, keys, "__n", value, n, name)
-    early = counted.where(F.col("jobs") <= warmup).withColumns({name: F.lit(0.0) for name in means})
-    return late.drop("__n").unionByName(early).drop("at", "place", "jobs", "__range")
+        late = dense_mean(late, keys, "__n", value, n, name)
+    early = rows.where(~warm).drop("__start").withColumns({name: F.lit(0.0) for name in means})
+    return late.drop("__n").unionByName(early).drop("place", "__range")
 
 
 def _job_ends(events: DataFrame, keys: list[str]) -> DataFrame:
