@@ -11,6 +11,7 @@ from tidemark.functions import binary, partitioner, scalar, typed
 from tidemark.functions.draws import draw, draw_int
 from tidemark.operators import aggregates as A
 from tidemark.operators import generate, graph, joins, limits, monitor, positions, records, transforms, windows
+from tidemark.plans import views
 from tidemark.sources import files
 from tidemark.sources import log as L
 
@@ -224,6 +225,16 @@ def test_pagerank(spark, hub_edges):
                                  "4": 0.7539975652935547}, abs=1e-12)
 
 
+def test_repeated_pairs_go_before_they_become_edges(spark, tmp_path):
+    pairs = [(1, 1), (1, 1), (1, 2), (2, 1), (1, 1), (2, 1)]
+    spark.createDataFrame(pairs, "l_partkey long, l_suppkey long").repartition(3).write.parquet(f"{tmp_path}/lineitem.parquet")
+    edges = views.edges(spark, str(tmp_path), repeats=False)
+    assert edges.count() == edges.distinct().count() == 6 and views.edges(spark, str(tmp_path)).count() == 12
+    ranks = [{r["node"]: r["rank"] for r in df.collect()} for df in (
+        graph.pagerank(edges, 2, repeats=False), graph.pagerank(views.edges(spark, str(tmp_path)), 2))]
+    assert ranks[0] == pytest.approx(ranks[1], abs=1e-12) and set(ranks[0]) == {"p1", "p2", "s1", "s2"}
+
+
 def test_key_partition(spark):
     keys = {"21": -973932308, "foobar": -790332482, "key1": 28543940, "asset01": 1085090301, "myAsset": 833033824,
             "": 275646681, "a-little-bit-long-string": -985981536}

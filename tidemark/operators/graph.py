@@ -26,20 +26,21 @@ def _bucketed(df: DataFrame, key: str, buckets: int, path: str) -> tuple[str, Da
 
 
 def pagerank(edges: DataFrame, rounds: int = 10, checkpoint_every: int = 3, hub_edges: int = HUB_EDGES,
-             buckets: int | None = None) -> DataFrame:
+             buckets: int | None = None, repeats: bool = True) -> DataFrame:
     """Ranks (node, rank) after some rounds, not normalised.
 
     A node passes ``rank / out-degree`` along each distinct edge; only nodes that got a share keep a rank. Edges and
     degrees lie in tables bucketed by their source in the shared folder, and the sums of a round come out in the same
     layout, so a round moves its shares once and no edge. Edges of nodes with more than ``hub_edges`` lie apart,
     unbucketed, and meet the few ranks of their sources. Every ``checkpoint_every`` rounds the ranks are written down, so
-    a lost executor costs no more than the rounds since.
+    a lost executor costs no more than the rounds since. ``repeats=False`` says that no edge comes twice.
     """
     spark = edges.sparkSession
     shared_dir(spark)
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, "ranks")
-    distinct_rows(edges.select("src", "dst")).write.parquet(f"{path}/unique")
+    edges = edges.select("src", "dst")
+    (distinct_rows(edges) if repeats else edges).write.parquet(f"{path}/unique")
     unique = spark.read.parquet(f"{path}/unique")
     degree_table, degrees = _bucketed(unique.groupBy("src").agg(F.count(F.lit(1)).alias("degree")), "src", buckets, f"{path}/degrees")
     hubs = degrees.where(F.col("degree") > hub_edges).select("src")  # no more than edges / hub_edges rows

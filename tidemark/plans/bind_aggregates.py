@@ -390,4 +390,4 @@ def _rank_sql(rounds: int) -> str:
 
 @query("graph_pagerank", _rank_sql(3))
 def _(spark, sf):
-    return graph.pagerank(V.edges(spark, sf), 3).select("node", rounded("rank", 6))
+    return graph.pagerank(V.edges(spark, sf, repeats=False), 3, repeats=False).select("node", rounded("rank", 6))

@@ -82,9 +82,13 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select(F.explode(split_java(F.col("text"))).alias("word"))
 
 
-def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts and suppliers as nodes, one edge each way per line item (repeats stay)."""
+def edges(spark: SparkSession, sf_dir: str, repeats: bool = True) -> DataFrame:
+    """Parts and suppliers as nodes, one edge each way per line item (repeats stay, if not said otherwise).
+
+    Repeats go while an edge is a pair of numbers, before it becomes two pairs of texts.
+    """
     items = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey")
+    items = items if repeats else items.distinct()
     return items.select(
         F.explode(F.array(
             F.struct(F.concat(F.lit("p"), "l_partkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst")),
